@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from chronolith.llm.common import table
 from chronolith.llm.sharding import shard_rows
+from chronolith.llm.warc import archive_round_trip
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,8 +20,14 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages through ARC into WARC archives and back."""
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
+    "op10_warc": op10_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {}
