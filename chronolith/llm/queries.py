@@ -8,11 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronolith.llm import secrets, sql
 from chronolith.llm.common import table
 from chronolith.llm.sharding import shard_rows
 from chronolith.llm.warc import archive_round_trip
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents; a source is an owner, its part in a language a
+    repository."""
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards 0 to 7, law ``rows``."""
     return shard_rows(table(spark, sf_dir, "documents"), shards=8).select(
@@ -26,8 +33,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
     "op2_sharding": op2_sharding,
     "op10_warc": op10_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_secrets": sql.SECRETS,
+}
