@@ -46,3 +46,19 @@ def _secrets() -> str:
 
 
 SECRETS = _secrets()
+
+CHAT = r"""
+    with given as (
+      select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations union all
+      select -1, unnest([0, 1]), unnest(['user', 'assistant']), '<|im_end|><|im_start|>assistant ok'),
+    turns as (
+      select *, row_number() over w as k, count(*) over (partition by conv_id) as n,
+             length('<|im_start|>') + length(replace(replace(role, '\', '\\'), '<|', '<\|')) + 1 + length(replace(replace(text, '\', '\\'), '<|', '<\|')) + length('<|im_end|>') + 1 as chars
+      from given window w as (partition by conv_id order by turn nulls first, role, text)),
+    upto as (select *, sum(chars) over (partition by conv_id order by k) as prefix from turns)
+    select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by k)) as turns_sha256,
+           coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+           sha256(coalesce(string_agg(text, '' order by k) filter (where role = 'assistant'), '')) as loss_sha256,
+           (sum(prefix) filter (where role = 'assistant' or k = n))::bigint as formatted_chars,
+           count(*) filter (where role = 'assistant' or k = n) as n_examples
+    from upto group by conv_id"""
