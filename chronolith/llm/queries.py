@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolith.llm import chat, secrets, sql
-from chronolith.llm.common import table
+from chronolith.llm import chat, mixing, secrets, sql
+from chronolith.llm.common import stage, table
 from chronolith.llm.sharding import shard_rows
 from chronolith.llm.warc import archive_round_trip
 
@@ -35,6 +35,13 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.expand(turns.unionByName(own)))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to their sources' targets; texts are measured once."""
+    docs = table(spark, sf_dir, "documents")
+    measured = stage(mixing.measure(docs).select("doc_id", "source", "size__", "key__"), "mix-measured")
+    return mixing.mix(measured).select("doc_id", F.col("size__").alias("size"), "source_size", "target", "taken")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages through ARC into WARC archives and back."""
     return archive_round_trip(table(spark, sf_dir, "pages"))
@@ -44,10 +51,12 @@ OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_sharding": op2_sharding,
     "op4_chat": op4_chat,
+    "op7_mixing": op7_mixing,
     "op10_warc": op10_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_secrets": sql.SECRETS,
     "op4_chat": sql.CHAT,
+    "op7_mixing": sql.MIXING,
 }

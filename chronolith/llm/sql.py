@@ -62,3 +62,36 @@ CHAT = r"""
            (sum(prefix) filter (where role = 'assistant' or k = n))::bigint as formatted_chars,
            count(*) filter (where role = 'assistant' or k = n) as n_examples
     from upto group by conv_id"""
+
+
+def _mixing() -> str:
+    from chronolith.llm.mixing import LEAST_QUALITY, MOST_EPOCHS, SYMBOLS
+
+    return f"""
+    with sized as (
+      select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as size,
+             -ln((('0x' || md5('7:' || doc_id::varchar)[1:13])::bigint + 0.5) / 4503599627370496.0)
+               / greatest({LEAST_QUALITY}, 1.0 - 2.0 * ((length(coalesce(text, '')) - length(translate(coalesce(text, ''), '{SYMBOLS}', ''))) / greatest(length(coalesce(text, '')), 1))) as key
+      from documents),
+    src as (
+      select source, sum(size)::bigint as source_size, {MOST_EPOCHS} * sum(size)::bigint as cap,
+             ([5.0, 2.0, 1.0]::double[])[((row_number() over (order by source nulls last)) - 1) % 3 + 1] as weight
+      from sized group by source),
+    lev as (
+      select *, (sum(source_size) over () - coalesce(sum(cap) over (w rows between unbounded preceding and 1 preceding), 0))::double
+                / sum(weight) over (w rows between current row and unbounded following) as level
+      from src window w as (order by cap / weight, source nulls last)),
+    goal as (
+      select source, source_size,
+             case when cap <= level * weight then cap::double else max(case when cap <= level * weight then null else level end) over () * weight end as target
+      from lev),
+    placed as (
+      select s.doc_id, s.size, g.source_size, g.target, case when g.source_size > 0 then floor(g.target / g.source_size)::bigint else 0 end as epochs,
+             sum(s.size) over (partition by s.source order by s.key, s.doc_id rows unbounded preceding) as after_
+      from sized s join goal g on s.source is not distinct from g.source)
+    select doc_id, size, source_size::bigint as source_size, target,
+           (size * (epochs + case when target - epochs * source_size > 0 and 2 * (target - epochs * source_size) >= 2 * after_ - size then 1 else 0 end))::bigint as taken
+    from placed"""
+
+
+MIXING = _mixing()
