@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolith.llm import chat, mixing, secrets, sql
+from chronolith.llm import chat, dedup, mixing, secrets, sql
 from chronolith.llm.common import stage, table
 from chronolith.llm.sharding import shard_rows
 from chronolith.llm.warc import archive_round_trip
@@ -35,6 +35,11 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.expand(turns.unionByName(own)))
 
 
+def op6_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact copies among all documents; texts are compared as they are."""
+    return dedup.deduplicate(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to their sources' targets; texts are measured once."""
     docs = table(spark, sf_dir, "documents")
@@ -44,13 +49,14 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages through ARC into WARC archives and back."""
-    return archive_round_trip(table(spark, sf_dir, "pages"))
+    return archive_round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_sharding": op2_sharding,
     "op4_chat": op4_chat,
+    "op6_dedup": op6_dedup,
     "op7_mixing": op7_mixing,
     "op10_warc": op10_warc,
 }
@@ -58,5 +64,7 @@ OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_secrets": sql.SECRETS,
     "op4_chat": sql.CHAT,
+    "op6_dedup": sql.DEDUP,
     "op7_mixing": sql.MIXING,
+    "op10_warc": sql.WARC,
 }

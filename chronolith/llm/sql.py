@@ -95,3 +95,17 @@ def _mixing() -> str:
 
 
 MIXING = _mixing()
+
+DEDUP = """
+    select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc_id = max(doc_id) over w as kept, sha256(coalesce(text, '')) as text_sha256
+    from documents window w as (partition by coalesce(text, ''))"""
+
+WARC = """
+    with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages),
+    r as (select *, min(page_id) over (partition by html) as first_id from p)
+    select page_id, octet_length(encode(html))::bigint as payload_bytes,
+           list_aggregate(list_transform(range(0, 8), lambda i: list_aggregate(list_transform([32768, 1024, 32, 1], lambda d:
+             substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, i * 5 + 1, 5))::bigint // d) % 32) + 1)::bigint, 1)), 'string_agg', '')), 'string_agg', '') as payload_digest,
+           case when page_id = first_id then 'response' else 'revisit' end as record_type,
+           case when page_id = first_id then null else first_id end as refers_to
+    from r"""
