@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolith.llm import chat, dedup, mixing, secrets, sql
+from chronolith.llm import chat, dedup, mixing, quality, secrets, sql
 from chronolith.llm.common import stage, table
 from chronolith.llm.sharding import shard_rows
 from chronolith.llm.warc import archive_round_trip
@@ -27,6 +27,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and the chain's verdict for all documents."""
+    return quality.score(table(spark, sf_dir, "documents"))
+
+
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts hold the template's own markers."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -55,6 +60,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_sharding": op2_sharding,
+    "op3_quality": op3_quality,
     "op4_chat": op4_chat,
     "op6_dedup": op6_dedup,
     "op7_mixing": op7_mixing,
