@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolith.llm import chat, dedup, mixing, quality, secrets, sql
+from chronolith.llm import bpe, chat, dedup, mixing, quality, secrets, sql
 from chronolith.llm.common import stage, table
 from chronolith.llm.sharding import shard_rows
 from chronolith.llm.warc import archive_round_trip
@@ -40,6 +40,19 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.expand(turns.unionByName(own)))
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents to tokens and back."""
+    path = tokenizer_path()
+    return bpe.digest(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
+
+
 def op6_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies among all documents; texts are compared as they are."""
     return dedup.deduplicate(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -62,6 +75,7 @@ OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_quality": op3_quality,
     "op4_chat": op4_chat,
+    "op5_bpe": op5_bpe,
     "op6_dedup": op6_dedup,
     "op7_mixing": op7_mixing,
     "op10_warc": op10_warc,
