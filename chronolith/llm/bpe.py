@@ -16,6 +16,10 @@ than encoding them.
 from __future__ import annotations
 
 import hashlib
+import os
+import re
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -29,13 +33,14 @@ from chronolith.llm.common import text_of, worker_cache
 CUT_BITS = 10
 WINDOW = 32
 LEAST_CHUNK, MOST_CHUNK = 128, 16384
-#: Bounds of what a worker keeps: words, and bytes of chunks.
-MOST_WORDS = 300_000
-MOST_CHUNK_BYTES = 32 << 20
+#: Bounds of what a worker keeps: words next to borders, and bytes of chunks.
+MOST_WORDS = 100_000
+MOST_CHUNK_BYTES = 48 << 20
 #: Bytes of text that are worked on at a time.
 GROUP_BYTES = 4 << 20
 
 _SPACE = b" \t\n\v\f\r"
+_FIRST_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def _gear() -> np.ndarray:
@@ -84,13 +89,17 @@ def check_tokenizer(tokenizer) -> None:
 
 
 def _packed(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
 
 
 class ChunkEncoder:
-    """Encodes texts to little-endian 32-bit ids, reusing words and chunks."""
+    """Encodes texts to little-endian 32-bit ids, reusing chunks."""
 
     def __init__(self, tokenizer_json: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
@@ -116,19 +125,23 @@ class ChunkEncoder:
         """Head before the first white space, tokens of the whole words inside,
         tail after the last white space, first and last whole word; None for a
         chunk without white space."""
-        parts = {}
+        made: dict[bytes, tuple[bytes, bytes, bytes, bytes, bytes] | None] = {}
+        insides: dict[bytes, str] = {}
         for c in fresh:
-            pieces = c.split(None, 1) if c[0] not in _SPACE else [b"", c]
-            head = pieces[0]
-            if len(head) == len(c):
-                parts[c] = None
+            found = _FIRST_SPACE.search(c)
+            if found is None:
+                made[c] = None
                 continue
-            words = c.split()
+            words = c.rsplit(None, 1)
             tail = words[-1] if c[-1] not in _SPACE else b""
-            parts[c] = (head, words[bool(head) : len(words) - bool(tail)], tail)
-        self._learn({w for p in parts.values() if p for w in p[1]})
-        known = self.words
-        return {c: p and (p[0], b"".join([known[w] for w in p[1]]), p[2], p[1][0] if p[1] else b"", p[1][-1] if p[1] else b"") for c, p in parts.items()}
+            head, inside = c[: found.start()], c[found.start() : len(c) - len(tail)].strip(_SPACE)
+            first, last = (inside.split(None, 1)[0], inside.rsplit(None, 1)[-1]) if inside else (b"", b"")
+            insides[c] = inside.decode()
+            made[c] = (head, b"", tail, first, last)
+        for c, ids in zip(insides, self._encode(list(insides.values())), strict=True):
+            head, _, tail, first, last = made[c]
+            made[c] = (head, _packed(ids), tail, first, last)
+        return made
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text."""
