@@ -12,13 +12,24 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronolith.llm.common import shared_dir, stage, text_of
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Many small state stores on an executor: no blocks are reserved ahead of
+#: writing, a commit uploads its changes only, and all share one memory bound.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "192",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "2",
+    "spark.sql.streaming.stateStore.rocksdb.maxWriteBufferNumber": "2",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
 
 
 def digest_of(text: Column, digest_bits: int = 256) -> Column:
@@ -55,13 +66,15 @@ def stream_state(table: DataFrame, state_dir: str | None = None, files_per_batch
     def keep(batch: DataFrame, number: int) -> None:
         batch.select("digest", F.col("best.doc_id").alias("keep_id"), F.col("best.locator").alias("locator"), "group_size").write.mode("overwrite").option("compression", "zstd").parquet(f"{updates}/batch={number}")
 
-    was = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    was = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
     try:
         query = state.writeStream.outputMode("update").trigger(availableNow=True).option("checkpointLocation", f"{root}/checkpoint").foreachBatch(keep).start()
         query.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, was)
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     changes = spark.read.schema("digest string, keep_id long, locator struct<row:long,bytes:long>, group_size long, batch long").parquet(updates)
     latest = changes.groupBy("digest").agg(F.max_by(F.struct("keep_id", "locator", "group_size"), "batch").alias("last"))
     return latest.select("digest", "last.*")
@@ -101,3 +114,21 @@ def _by_text(docs: DataFrame, id_col: str, text_col: str, digest_bits: int) -> D
     rows = stage(docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text__"), F.monotonically_increasing_id().alias("row__")), "dedup-texts")
     groups = rows.groupBy(F.col("text__").alias("of__")).agg(F.max(F.struct("doc_id", "row__")).alias("best__"), F.count(F.lit(1)).alias("group_size"))
     return rows.join(groups, F.col("text__") == F.col("of__")).select("doc_id", F.col("best__.doc_id").alias("keep_id"), "group_size", (F.col("row__") == F.col("best__.row__")).alias("kept"), digest_of(F.col("text__"), digest_bits).alias("digest"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns.
+
+    Rows are found again by id and digest; of rows that repeat both, one stays.
+    """
+    bits = how.get("digest_bits", 256)
+    found = deduplicate(docs, id_col=id_col, text_col=text_col, **how)
+    best = stage(found.filter(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("rows__"), F.count_if("kept").alias("kept__")), "dedup-kept")
+    keys = best.select(F.col("doc_id").alias("id__"), F.col("digest").alias("digest__"), "rows__", "kept__")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    mine = docs.withColumn("of__", digest_of(text_of(text_col), bits))
+    joined = mine.join(keys, F.col(f"`{id_col}`").eqNullSafe(F.col("id__")) & (F.col("of__") == F.col("digest__")))
+    if not best.filter("rows__ > kept__").isEmpty():  # rows that repeat id and text
+        whole = Window.partitionBy("id__", "digest__", text_of(text_col)).orderBy(F.lit(0))
+        joined = joined.withColumn("nth__", F.row_number().over(whole)).filter("nth__ = 1")
+    return joined.select(*names)
