@@ -88,3 +88,10 @@ def mix(measured: DataFrame, source_col: str = "source", id_col: str = "doc_id",
     chosen = 2 * F.col("rest__") >= 2 * F.col("after__") - F.col("size__")
     copies = F.col("epochs__") + F.when(chosen & (F.col("rest__") > 0), 1).otherwise(0)
     return placed.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size__")).drop("source__", "null__", "bucket__", "offset__", "after__", "epochs__", "rest__", "key__")
+
+
+def draw(docs: DataFrame, seed: int = 7, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text", **shares) -> DataFrame:
+    """Rows of ``docs`` as often as the mix takes them, with their columns."""
+    mixed = mix(measure(docs, seed, id_col, text_col), source_col, id_col, **shares)
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return mixed.filter("copies > 0").select(*names, F.explode(F.sequence(F.lit(1), "copies")).alias("copy__")).select(*names)

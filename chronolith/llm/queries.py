@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolith.llm import bpe, chat, dedup, jaccard, mixing, quality, secrets, sql
+from chronolith.llm import bpe, chat, dedup, jaccard, mixing, quality, secrets, sql, toxicity
 from chronolith.llm.common import stage, table
 from chronolith.llm.sharding import shard_rows
 from chronolith.llm.warc import archive_round_trip
@@ -65,6 +65,13 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(measured).select("doc_id", F.col("size__").alias("size"), "source_size", "target", "taken")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a network trained on a bounded sample."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(*toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model)
+
+
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents at four words and 85 per cent."""
     return jaccard.similar(table(spark, sf_dir, "documents"), k=4, percent=85)
@@ -83,6 +90,7 @@ OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": op5_bpe,
     "op6_dedup": op6_dedup,
     "op7_mixing": op7_mixing,
+    "op8_toxicity": op8_toxicity,
     "op9_jaccard": op9_jaccard,
     "op10_warc": op10_warc,
 }
