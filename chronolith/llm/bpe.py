@@ -33,11 +33,11 @@ from chronolith.llm.common import text_of, worker_cache
 CUT_BITS = 10
 WINDOW = 32
 LEAST_CHUNK, MOST_CHUNK = 128, 16384
-#: Bounds of what a worker keeps: words next to borders, and bytes of chunks.
-MOST_WORDS = 100_000
-MOST_CHUNK_BYTES = 48 << 20
+#: Bounds of what a worker keeps: words, and bytes of chunks.
+MOST_WORDS = 300_000
+MOST_CHUNK_BYTES = 24 << 20
 #: Bytes of text that are worked on at a time.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 2 << 20
 
 _SPACE = b" \t\n\v\f\r"
 _FIRST_SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -96,7 +96,7 @@ def _packed(ids: list[int]) -> bytes:
 
 
 class ChunkEncoder:
-    """Encodes texts to little-endian 32-bit ids, reusing chunks."""
+    """Encodes texts to little-endian 32-bit ids, reusing words and chunks."""
 
     def __init__(self, tokenizer_json: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
@@ -115,18 +115,18 @@ class ChunkEncoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: set[bytes]) -> None:
+        """Tokens of the words that were not met before."""
         if len(self.words) > MOST_WORDS:
             self.words.clear()
         new = [w for w in words if w not in self.words]
-        for w, ids in zip(new, self._encode([w.decode() for w in new]), strict=True):
-            self.words[w] = _packed(ids)
+        self.words.update(zip(new, map(_packed, self._encode([w.decode() for w in new])), strict=True))
 
     def _encode_chunks(self, fresh: set[bytes]) -> dict[bytes, tuple[bytes, bytes, bytes, bytes, bytes] | None]:
         """Head before the first white space, tokens of the whole words inside,
         tail after the last white space, first and last whole word; None for a
         chunk without white space."""
         made: dict[bytes, tuple[bytes, bytes, bytes, bytes, bytes] | None] = {}
-        insides: dict[bytes, str] = {}
+        insides: dict[bytes, bytes] = {}
         for c in fresh:
             found = _FIRST_SPACE.search(c)
             if found is None:
@@ -136,11 +136,14 @@ class ChunkEncoder:
             tail = words[-1] if c[-1] not in _SPACE else b""
             head, inside = c[: found.start()], c[found.start() : len(c) - len(tail)].strip(_SPACE)
             first, last = (inside.split(None, 1)[0], inside.rsplit(None, 1)[-1]) if inside else (b"", b"")
-            insides[c] = inside.decode()
+            insides[c] = inside
             made[c] = (head, b"", tail, first, last)
-        for c, ids in zip(insides, self._encode(list(insides.values())), strict=True):
+        split = {c: inside.split() for c, inside in insides.items()}
+        self._learn({w for words in split.values() for w in words})
+        ids_of = self.words.__getitem__
+        for c, words in split.items():
             head, _, tail, first, last = made[c]
-            made[c] = (head, _packed(ids), tail, first, last)
+            made[c] = (head, b"".join(map(ids_of, words)), tail, first, last)
         return made
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -207,6 +210,39 @@ def _encoder(tokenizer_json: str) -> ChunkEncoder:
     return worker_cache(f"bpe-{key}", lambda: ChunkEncoder(tokenizer_json))
 
 
+def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+    keys, texts, held = [], [], 0
+    for batch in batches:
+        for key, text in zip(batch.column(0), batch.column(1), strict=True):
+            keys.append(key.as_py())
+            texts.append(text.as_py())
+            held += len(texts[-1])
+            if held >= GROUP_BYTES:
+                yield keys, texts
+                keys, texts, held = [], [], 0
+    if keys:
+        yield keys, texts
+
+
+class Decoder:
+    """Texts of packed ids, special tokens included."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        # without a decoder, tokens stand apart by spaces
+        self.plain = None if tokenizer.decoder is not None else [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size(with_added_tokens=True))]
+
+    def decode(self, packed: bytes) -> str:
+        ids = np.frombuffer(packed, "<u4").tolist()
+        if self.plain is None:
+            return self.tokenizer.decode(ids, skip_special_tokens=False)
+        return " ".join(map(self.plain.__getitem__, ids))
+
+
+def _input(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+
+
 def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and ids (little-endian unsigned 32-bit integers) of every row.
 
@@ -219,23 +255,10 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_json)
+        for keys, texts in _groups(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(encoder.encode(texts), pa.binary())], names=["doc_id", "ids"])
 
-        def made(keys: list, texts: list[str]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(encoder.encode(texts), pa.binary())], names=["doc_id", "ids"])
-
-        keys, texts, held = [], [], 0
-        for batch in batches:
-            for key, text in zip(batch.column(0), batch.column(1), strict=True):
-                keys.append(key.as_py())
-                texts.append(text.as_py())
-                held += len(texts[-1])
-                if held >= GROUP_BYTES:
-                    yield made(keys, texts)
-                    keys, texts, held = [], [], 0
-        if keys:
-            yield made(keys, texts)
-
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, "doc_id long, ids binary")
+    return _input(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -243,20 +266,30 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     tokenizer_json = read_tokenizer(tokenizer_path)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _encoder(tokenizer_json).tokenizer
-        plain = None
-        if tokenizer.decoder is None:  # tokens stand apart by spaces
-            plain = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size(with_added_tokens=True))]
+        decoder = Decoder(_encoder(tokenizer_json).tokenizer)
         for batch in batches:
-            texts = []
-            for ids in batch.column(batch.schema.get_field_index("ids")):
-                numbers = np.frombuffer(ids.as_py(), "<u4").tolist()
-                texts.append(" ".join([plain[i] for i in numbers]) if plain else tokenizer.decode(numbers, skip_special_tokens=False))
+            texts = [decoder.decode(ids.as_py()) for ids in batch.column(batch.schema.get_field_index("ids"))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, f"{', '.join(f'{n} {t}' for n, t in encoded.dtypes)}, decoded string")
 
 
-def digest(decoded: DataFrame) -> DataFrame:
-    """Counts and digests of :func:`decode`'s rows."""
-    return decoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+def round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Digests of :func:`encode` and :func:`decode` in one pass: doc_id,
+    n_tokens, ids_sha256, decoded_sha256. Rows are treated as by ``encode``."""
+    tokenizer_json = read_tokenizer(tokenizer_path)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(tokenizer_json)
+        decoder = Decoder(encoder.tokenizer)
+        for keys, texts in _groups(batches):
+            packed = encoder.encode(texts)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(keys, pa.int64()), pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array([hashlib.sha256(p).hexdigest() for p in packed], pa.string()),
+                    pa.array([hashlib.sha256(decoder.decode(p).encode()).hexdigest() for p in packed], pa.string()),
+                ],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
+    return _input(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -49,8 +49,7 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents to tokens and back."""
-    path = tokenizer_path()
-    return bpe.digest(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op6_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
