@@ -35,8 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens and their round trip for every row of the mix."""
-    path = tokenizer_path()
-    return bpe.digest(bpe.decode(bpe.encode(docs, path), path))
+    return bpe.round_trip(docs, tokenizer_path())
 
 
 STAGES = [
