@@ -201,7 +201,7 @@ def ic_resampling(values: DataFrame, value: str = "ic", replicates: int = 10_000
         flips = sum(abs(float(np.mean([v if rng.random() < 0.5 else -v for v in x]))) >= abs(observed) for _ in range(replicates))
         return pd.DataFrame([{"n": len(x), "mean": observed, "ci_low": means[int(0.025 * replicates)], "ci_high": means[min(replicates - 1, int(0.975 * replicates))], "p_value": (flips + 1) / (replicates + 1)}])
 
-    return values.groupBy(F.lit(1)).applyInPandas(run, "n long, mean double, ci_low double, ci_high double, p_value double")
+    return values.withColumn("all__", F.lit(0)).groupBy("all__").applyInPandas(run, "n long, mean double, ci_low double, ci_high double, p_value double")
 
 
 def circular_block_bootstrap(scored: DataFrame, replicates: int = 1000, block: int = BLOCK_HOURS, seed: int = PHASE_SEED) -> DataFrame:

@@ -38,11 +38,20 @@ def shared(spark: SparkSession) -> str:
     return own
 
 
+def parquet_stream(spark: SparkSession, path: str) -> DataFrame:
+    """A stream of a Parquet table that is a folder or a single file."""
+    stored = spark.read.parquet(path)
+    reader = spark.readStream.schema(stored.schema)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    single = any(f.rstrip("/").endswith(f"/{name}") for f in stored.inputFiles())
+    return reader.option("pathGlobFilter", name).parquet(folder) if single else reader.parquet(path)
+
+
 def run_available(spark: SparkSession, path: str, step: str = "1 hour") -> DataFrame:
     """All files under ``path`` through the stream until none is left; the bars
     of the windows that closed, read back from the sink's table."""
     root = f"{shared(spark)}/chronolith/stream-{uuid.uuid4().hex}"
-    source = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    source = parquet_stream(spark, path)
     query = bars(source, step).writeStream.outputMode("append").format("parquet").option("path", f"{root}/bars").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema("series string, open_ms long, open long, high long, low long, close long, volume long, trades long").parquet(f"{root}/bars")
