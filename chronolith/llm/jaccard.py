@@ -35,7 +35,9 @@ from chronolith.llm.common import stage, text_of
 BAND_RATIO = 1.4
 #: What a segment that is empty by chance costs, in signatures.
 EMPTY_COST = 100.0
-SKETCH_WORDS = 4
+SKETCH_WORDS = 16
+#: Star rounds before buckets that still hold several components are searched.
+STARS = 2
 #: Rows that are broadcast at most; beyond it a shuffled join is used.
 BROADCAST_ROWS = 500_000
 #: Members of a bucket from which on a second signature must agree as well.
@@ -43,7 +45,7 @@ LARGE_BUCKET = 4096
 #: Signatures gathered for one reduce task.
 TASK_SIGNATURES = 2_000_000
 GROUP_BYTES = 8 << 20
-SIGNATURE_BITS = 48
+SIGNATURE_BITS = 40
 
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -154,12 +156,13 @@ def schemes_of(size: int, percent: int) -> list[int]:
     return [band, band + 1] if size * 100 >= percent * limits[band + 1] else [band]
 
 
-def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
-    """The index keys of a set in all its schemes."""
+def signatures(tokens: np.ndarray, percent: int) -> list[np.ndarray]:
+    """The index keys of a set in each of its schemes, its own band's first."""
     out = []
     for band in schemes_of(len(tokens), percent):
         scheme = allocate(band, percent)
         if scheme is None:
+            out.append(np.empty(0, np.uint64))
             continue
         segments = scheme.exact + scheme.wide
         mixed = mix(tokens, 1000 + band)
@@ -184,7 +187,7 @@ def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
                 short = np.flatnonzero(sizes[: scheme.wide] == 1)
                 keys.append(mix(tag[np.concatenate((exact, short))]))
         out.append(np.unique(np.concatenate(keys)))
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+    return out
 
 
 def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple[int | None, str]]]:
@@ -209,9 +212,11 @@ def _describe(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["doc_id", "n", "key1", "key2"])
 
 
-def _index(batches: Iterable[pa.RecordBatch], k: int, percent: int, parts: int) -> Iterator[pa.RecordBatch]:
+def _index(batches: Iterable[pa.RecordBatch], k: int, percent: int, labels: list[int]) -> Iterator[pa.RecordBatch]:
     """Signatures by part, packed: (part, keys, nodes). A set that the task has
-    met before is not indexed again."""
+    met before is not indexed again. A node's lowest bit tells whether the
+    scheme is its own band's (0) or the next (1)."""
+    parts = len(labels)
     seen: set[int] = set()
     for rows in _texts(batches):
         keys, nodes = [], []
@@ -222,10 +227,10 @@ def _index(batches: Iterable[pa.RecordBatch], k: int, percent: int, parts: int)
                 continue
             if len(seen) < 1_000_000:
                 seen.add(node)
-            found = signatures(tokens, percent)
-            keys.append(found)
-            nodes.append(np.full(len(found), node, np.int64))
-        if not keys:
+            for role, found in enumerate(signatures(tokens, percent)):
+                keys.append(found)
+                nodes.append(np.full(len(found), node & -2 | role, np.int64))
+        if not sum(map(len, keys)):
             continue
         key, node = np.concatenate(keys), np.concatenate(nodes)
         part = ((key >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
@@ -233,24 +238,25 @@ def _index(batches: Iterable[pa.RecordBatch], k: int, percent: int, parts: int)
         key, node, part = key[order], node[order], part[order]
         key = key.view(np.uint8).reshape(-1, 8)[:, : SIGNATURE_BITS // 8]
         edges = np.flatnonzero(np.diff(part, prepend=-1, append=parts + 1))
-        out = [(int(part[a]), key[a:b].tobytes(), _pack_nodes(node[a:b])) for a, b in zip(edges, edges[1:], strict=False)]
+        out = [(labels[int(part[a])], key[a:b].tobytes(), _pack_nodes(node[a:b])) for a, b in zip(edges, edges[1:], strict=False)]
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary())], names=["part", "keys", "nodes"])
 
 
 def _pack_nodes(node: np.ndarray) -> bytes:
     """Runs of equal nodes as their lengths and values."""
     edges = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
-    lengths = np.diff(np.append(edges, len(node))).astype(np.uint32)
-    return np.uint32(len(edges)).tobytes() + lengths.tobytes() + node[edges].tobytes()
+    lengths = np.diff(np.append(edges, len(node))).astype(np.uint16)
+    return np.uint64(len(edges)).tobytes() + node[edges].tobytes() + lengths.tobytes()
 
 
 def _unpack_nodes(data: bytes) -> np.ndarray:
-    n = int(np.frombuffer(data, np.uint32, 1)[0])
-    return np.repeat(np.frombuffer(data, np.int64, n, 4 + 4 * n), np.frombuffer(data, np.uint32, n, 4))
+    n = int(np.frombuffer(data, np.uint64, 1)[0])
+    return np.repeat(np.frombuffer(data, np.int64, n, 8), np.frombuffer(data, np.uint16, n, 8 + 8 * n))
 
 
 def _buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of buckets of two nodes or more: (key, node, lead)."""
+    """Members of buckets of two nodes or more, one of them of the scheme's own
+    band: (key, node, lead)."""
     width = SIGNATURE_BITS // 8
     by_part: dict[int, list[tuple[bytes, bytes]]] = {}
     for batch in batches:
@@ -267,31 +273,30 @@ def _buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, node = key[order], node[order]
         new = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))
         key, node = key[new], node[new]
+        own, node = node & 1 == 0, node & -2
         first = np.concatenate(([True], key[1:] != key[:-1]))
         group = np.cumsum(first) - 1
         sizes = np.bincount(group)
         lead = node[np.flatnonzero(first)][group]
-        many = sizes[group] > 1
+        many = (sizes[group] > 1) & (np.bincount(group, own)[group] > 0)
         if many.any():
             yield pa.RecordBatch.from_arrays([pa.array(key[many]), pa.array(node[many]), pa.array(lead[many])], names=["key", "node", "lead"])
 
 
 def _sets(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for rows in _texts(batches):
-        out = []
-        for key, text in rows:
-            tokens = shingles(text, k)
-            out.append((key, len(tokens), sketch(tokens), tokens.view(np.int64)))
+        out = [(key, len(tokens), sketch(tokens), tokens.view(np.int64)) for key, tokens in ((key, shingles(text, k)) for key, text in rows)]
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.binary()), pa.array([x[3] for x in out], pa.list_(pa.int64()))], names=["id", "n", "sketch", "tokens"])
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
-    left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
+    left = _few(sets, pairs.select(F.col("a").alias("id")).distinct(), "id").select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
     close = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-    found = pairs.join(right, "b").join(left, "a").filter(close)
+    few = pairs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    found = right.join(F.broadcast(pairs) if few else pairs, "b").join(left, "a").filter(close)
     return found.filter(100 * both >= percent * (F.col("na") + F.col("nb") - both)).select("a", "b")
 
 
@@ -360,10 +365,23 @@ def _across(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         yield batch_of(found)
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` with an id of ``ids``: broadcast if few, else shuffled."""
+def _few(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """Rows with an id of ``ids``: broadcast if they are few, else shuffled."""
     few = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    return rows.join(F.broadcast(ids) if few else ids, column, "left_semi")
+
+
+def _best_lead(rows: DataFrame) -> DataFrame:
+    """Of (id, lead), the lead that most buckets name for each id, as (a, b)."""
+    counted = rows.groupBy("id", "lead").agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy("id").agg(F.max_by("lead", F.struct("n", -F.col("lead"))).alias("a")).select("a", F.col("id").alias("b"))
+
+
+def part_labels(spark, tasks: int) -> list[int]:
+    """For each of ``tasks`` shuffle partitions an integer that is dealt to it."""
+    rows = spark.range(40 * tasks).select(F.col("id").cast("int").alias("label")).groupBy(F.expr(f"pmod(hash(label), {tasks})").alias("part")).agg(F.min("label").alias("label")).collect()
+    found = {r["part"]: r["label"] for r in rows}
+    return [found.get(i, i) for i in range(tasks)]
 
 
 class Join(NamedTuple):
@@ -382,30 +400,28 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     classes = stage(described.filter("n > 0 and doc_id is not null").groupBy("key1", "key2", "n").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // (3 * TASK_SIGNATURES) + 1)
-    parts = 16 * tasks
-    packed = texts.mapInArrow(lambda x: _index(x, k, percent, parts), "part int, keys binary, nodes binary").repartition(tasks, "part")
+    labels = part_labels(spark, tasks)
+    packed = texts.mapInArrow(lambda x: _index(x, k, percent, labels), "part int, keys binary, nodes binary").repartition(tasks, "part")
     buckets = stage(packed.mapInArrow(_buckets, "key long, node long, lead long"), "jaccard-buckets")
-    reps = classes.select(F.col("key1").alias("node"), "rep")
-    stars = buckets.filter("node <> lead").select("node", "lead").distinct()
-    star_pairs = stage(
-        stars.join(reps, "node").withColumnRenamed("rep", "b").join(reps.select(F.col("node").alias("lead"), F.col("rep").alias("a")), "lead").filter("a <> b").select("a", "b").distinct(), "jaccard-stars"
-    )
-    members = stage(buckets.select("node").distinct().join(reps, "node").select(F.col("rep").alias("doc_id"), "node").distinct(), "jaccard-members")
-    # a row of another set may have the same id, so the set's key decides
-    mine = _only(texts, members.select("doc_id").distinct()).mapInArrow(lambda x: _sets(x, k), "id long, n long, sketch binary, tokens array<long>")
-    sets = stage(mine.dropDuplicates(["id", "n", "sketch"]), "jaccard-tokens")
-    edges = stage(_verify(star_pairs, sets, percent).distinct(), "jaccard-edges")
-    labels = stage(members.join(components(edges, "jaccard-stars").withColumnRenamed("id", "doc_id"), "doc_id", "left").select("node", "doc_id", F.coalesce("label", "doc_id").alias("comp")), "jaccard-contracted")
-    placed = buckets.select("key", "node").join(labels, "node").select("key", "node", F.col("doc_id").alias("id"), "comp")
-    several = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo <> hi").select("key", "size")
-    open_ = stage(placed.join(several, "key"), "jaccard-open")
-    large = open_.filter(F.col("size") > LARGE_BUCKET).select("key", "id", "comp", "node")
-    second = large.join(placed.select(F.col("key").alias("other"), F.col("node").alias("node2"), F.col("id").alias("id2")), (F.col("node") == F.col("node2")) & (F.col("id") == F.col("id2"))).filter("other <> key")
+    reps = classes.select(F.expr("key1 & -2L").alias("node"), "rep")
+    placed = stage(buckets.join(reps.select("node", F.col("rep").alias("id")), "node").join(reps.select(F.col("node").alias("lead"), F.col("rep").alias("first")), "lead").select("key", "id", F.col("first").alias("lead")).distinct(), "jaccard-placed")
+    mine = _few(texts, placed.select(F.col("id").alias("doc_id")).distinct(), "doc_id")
+    sets = stage(mine.mapInArrow(lambda x: _sets(x, k), "id long, n long, sketch binary, tokens array<long>"), "jaccard-tokens")
+    links = stage(_verify(stage(_best_lead(placed.filter("id <> lead")), "jaccard-stars"), sets, percent).distinct(), "jaccard-links")
+    for turn in range(STARS):
+        comps = components(links, "jaccard-contracted").withColumnRenamed("label", "comp")
+        rows = placed.join(comps, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
+        several = rows.groupBy("key").agg(F.min(F.struct("comp", "id")).alias("low"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).filter("low.comp <> hi").select("key", "size", F.col("low.id").alias("lead"), F.col("low.comp").alias("lead_comp"))
+        open_ = stage(rows.join(several, "key"), "jaccard-open")
+        if turn < STARS - 1:
+            more = _verify(stage(_best_lead(open_.filter("comp <> lead_comp").select("id", "lead")), "jaccard-stars"), sets, percent)
+            links = stage(links.union(more).distinct(), "jaccard-links")
+    large = open_.filter(F.col("size") > LARGE_BUCKET).select("key", "id", "comp")
+    second = large.join(placed.select(F.col("key").alias("other"), F.col("id").alias("id2")), F.col("id") == F.col("id2")).filter("other <> key")
     keyed = open_.filter(F.col("size") <= LARGE_BUCKET).select("key", "id", "comp").union(second.select(F.xxhash64("key", "other").alias("key"), "id", "comp"))
-    rows = keyed.join(sets.select("id", "n", "sketch"), "id").select("key", "id", "comp", "n", "sketch")
-    across = rows.repartition("key").sortWithinPartitions("key").mapInArrow(lambda x: _across(x, percent), "a long, b long").distinct()
-    more = _verify(stage(across, "jaccard-across"), sets, percent)
-    links = stage(edges.union(more).distinct(), "jaccard-links")
+    members = keyed.join(sets.select("id", "n", "sketch"), "id").select("key", "id", "comp", "n", "sketch")
+    across = members.repartition("key").sortWithinPartitions("key").mapInArrow(lambda x: _across(x, percent), "a long, b long").distinct()
+    links = stage(links.union(_verify(stage(across, "jaccard-across"), sets, percent)).distinct(), "jaccard-links")
     members_of = described.join(classes, ["key1", "key2", "n"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"))
     return Join(members_of, links)
 
