@@ -274,6 +274,73 @@ def value_range_scan(spark, sf_dir):
     return table(spark, sf_dir, "events").select(F.explode(F.json_object_keys("props")).alias("props_key")).groupBy("props_key").agg(F.count(F.lit(1)).alias("n"))
 
 
+_IC = "(values ('a', 0.08, 0.01, 0.05, 0.01), ('b', 0.15, 0.01, 0.05, 0.01), ('c', 0.25, 0.01, 0.05, 0.01), ('d', 0.08, -0.01, 0.05, 0.01), ('e', 0.08, 0.01, 0.05, 0.2)) t(name, sd, ci_low, ci_high, p_value)"
+_IC_ROWS = [("a", 0.08, 0.01, 0.05, 0.01), ("b", 0.15, 0.01, 0.05, 0.01), ("c", 0.25, 0.01, 0.05, 0.01), ("d", 0.08, -0.01, 0.05, 0.01), ("e", 0.08, 0.01, 0.05, 0.2)]
+
+
+@query("ic_gate", f"select name, case when sd > 0.20 or 0 between ci_low and ci_high or p_value > 0.05 then 'STOP_PUBLISH_NEGATIVE' when sd < 0.10 then 'PROCEED' else 'PROCEED_WITH_CAVEAT' end as verdict from {_IC}")
+def ic_gate(spark, sf_dir):
+    from chronolith.operators import gates
+
+    return gates.ic_gate(spark.createDataFrame(_IC_ROWS, "name string, sd double, ci_low double, ci_high double, p_value double")).select("name", "verdict")
+
+
+@query("phase_gate", "select name, lower > 0 as bound_positive, min_year_auc >= 0.5 as years_pass, lower > 0 and min_year_auc >= 0.5 as continues from (values ('a', 0.01, 0.51), ('b', -0.01, 0.51), ('c', 0.01, 0.49)) t(name, lower, min_year_auc)")
+def phase_gate(spark, sf_dir):
+    from chronolith.operators import gates
+
+    rows = spark.createDataFrame([("a", 0.01, 0.51), ("b", -0.01, 0.51), ("c", 0.01, 0.49)], "name string, lower double, min_year_auc double")
+    return gates.phase_gate(rows).select("name", "bound_positive", "years_pass", "continues")
+
+
+@query("replication_gate", "select name, case when bss >= 0.02 and ci_low > 0 and abs(bias) <= 0.02 and slope between 0.8 and 1.2 and calibrated then 'REPLICATED' else 'DID_NOT_REPLICATE' end as outcome from (values ('a', 0.03, 0.01, -0.02, 1.0, true), ('b', 0.03, 0.0, 0.0, 1.0, true), ('c', 0.03, 0.01, 0.0, 1.3, true), ('d', 0.03, 0.01, 0.0, 1.0, false)) t(name, bss, ci_low, bias, slope, calibrated)")
+def replication_gate(spark, sf_dir):
+    from chronolith.operators import gates
+
+    rows = [("a", 0.03, 0.01, -0.02, 1.0, True), ("b", 0.03, 0.0, 0.0, 1.0, True), ("c", 0.03, 0.01, 0.0, 1.3, True), ("d", 0.03, 0.01, 0.0, 1.0, False)]
+    return gates.replication_gate(spark.createDataFrame(rows, "name string, bss double, ci_low double, bias double, slope double, calibrated boolean")).select("name", "outcome")
+
+
+_HYP_ROWS = [("H_ETH", 0.02, 0.01, True, 3, -0.01), ("H_K_M2", 0.02, 0.01, True, 3, -0.01), ("H_K_M3", 0.005, 0.01, True, 3, -0.01)]
+_HYP = "(values ('H_ETH', 0.02, 0.01, true, 3, -0.01), ('H_K_M2', 0.02, 0.01, true, 3, -0.01), ('H_K_M3', 0.005, 0.01, true, 3, -0.01)) t(name, improvement, ci_low, rejected, improved_years, worst_year)"
+
+
+@query("hypothesis_gate", f"select name, improvement >= 0.01 and ci_low > 0 and rejected and improved_years >= 2 and worst_year >= -0.02 as passes from {_HYP}")
+def hypothesis_gate(spark, sf_dir):
+    from chronolith.operators import gates
+
+    return gates.hypothesis_gate(spark.createDataFrame(_HYP_ROWS, "name string, improvement double, ci_low double, rejected boolean, improved_years int, worst_year double")).select("name", "passes")
+
+
+@query("retained_model", "select 'M3' as retained")
+def retained_model(spark, sf_dir):
+    from chronolith.operators import gates
+
+    return gates.retained_model(hypothesis_gate(spark, sf_dir))
+
+
+@query("series_registry", "select unnest(['binance_usdm', 'binance_spot', 'kraken']) as provider, unnest([11, 1, 1])::bigint as n")
+def series_registry(spark, sf_dir):
+    from chronolith.sources.series import registry
+
+    return registry(spark).groupBy("provider").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("gap_disposition", "select reason, case when reason in ('missing_native_interval', 'oi_snapshot_gap') then reason else 'unclassified_pending_review' end as disposition from (select unnest(['missing_native_interval', 'oi_snapshot_gap', 'other', 'native_grid']) as reason)")
+def gap_disposition(spark, sf_dir):
+    rows = spark.createDataFrame([("missing_native_interval",), ("oi_snapshot_gap",), ("other",), ("native_grid",)], "reason string")
+    return rows.select("reason", QE.gap_disposition(F.col("reason")).alias("disposition"))
+
+
+@query("union_months", f"select strftime(make_timestamp(open_ms * 1000), '%Y-%m-%d') as day, count(*) as n from ({bars_sql(HOUR, 'ALL')}) group by 1")
+def union_months(spark, sf_dir):
+    """Parts concatenated again, with the count of each."""
+    b = hour_bars(spark, sf_dir, "ALL")
+    cut = START + 15 * DAY
+    whole = b.filter(F.col("open_ms") < cut).unionByName(b.filter(F.col("open_ms") >= cut))
+    return whole.groupBy(F.date_format(F.timestamp_millis("open_ms"), "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+
+
 # relational plumbing
 @query("set_operations", "select 'both' as kind, count(*) as n from (select c_custkey from customer intersect select o_custkey from orders) union all select 'never', count(*) from (select c_custkey from customer except select o_custkey from orders) union all select 'all', count(*) from (select c_custkey from customer union select o_custkey from orders)")
 def set_operations(spark, sf_dir):
