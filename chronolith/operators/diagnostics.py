@@ -34,12 +34,29 @@ def auc(scored: DataFrame, keys: tuple[str, ...], score: str = "score", label: s
     return sums.withColumn("auc", F.when((p > 0) & (n > 0), (F.col("rank_sum") - p * (p + 1) / 2) / (p * n)))
 
 
+def running_before(rows: DataFrame, order: str, value: str, out: str, ranges: int = 512) -> DataFrame:
+    """Add ``out``, the sum of ``value`` over rows with a smaller ``order``.
+
+    Rows are cut into ranges at approximate quantiles; the ranges' sums, one row
+    a range, give offsets, and each range is ordered by itself, so no task holds
+    all rows. Values of ``order`` must be distinct.
+    """
+    cuts = sorted(set(rows.approxQuantile(order, [i / ranges for i in range(1, ranges)], 0.5 / ranges)))
+    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col(order))) if cuts else F.lit(0)
+    cut = rows.withColumn("part__", part)
+    before = Window.orderBy("part__").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cut.groupBy("part__").agg(F.sum(value).alias("sum__")).select("part__", F.coalesce(F.sum("sum__").over(before), F.lit(0)).alias("offset__"))
+    within = Window.partitionBy("part__").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    # one row for each range, at most ``ranges``
+    joined = cut.join(F.broadcast(offsets), "part__")
+    return joined.withColumn(out, F.col("offset__") + F.coalesce(F.sum(value).over(within), F.lit(0))).drop("part__", "offset__")
+
+
 def auc_by_value(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """Pooled AUC from counts by distinct score: rows collapse before any order
-    is needed, and only distinct scores are accumulated."""
+    is needed, and distinct scores are accumulated range by range."""
     counts = scored.groupBy(F.col(score).alias("v")).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
-    before = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    below = counts.withColumn("below", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    below = running_before(counts, "v", "n", "below")
     sums = below.agg(F.sum("p").alias("positives"), F.sum("n").alias("negatives"), F.sum(F.col("p") * (F.col("below") + F.col("n") / 2)).alias("wins"))
     return sums.withColumn("auc", F.when((F.col("positives") > 0) & (F.col("negatives") > 0), F.col("wins") / (F.col("positives") * F.col("negatives"))))
 
