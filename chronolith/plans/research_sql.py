@@ -309,12 +309,17 @@ def phase_statistic(spark, sf_dir):
     return a.agg(F.count("auc").alias("known"), (F.count(F.lit(1)) - F.count("auc")).alias("undefined"), r9(F.avg(F.col("auc") - 0.5), 8).alias("t"))
 
 
-GRID = f"(select 2024::int as year, (open_ms - {START}) // {HOUR} as hour_idx, case when ((open_ms - {START}) // {HOUR}) % 29 in (0, 1) then null else (close - open)::bigint end as d from ({bars_sql(HOUR, 'ALL')}))"
+_SLOTS = f"(select (open_ms - {START}) // {HOUR} as hour_idx, (close - open)::bigint as d from ({bars_sql(HOUR, 'ALL')}))"
+GRID = f"(select 2024::int as year, g.hour_idx, case when g.hour_idx % 29 in (0, 1) then null else d end as d from (select unnest(generate_series(0, (select max(hour_idx) from {_SLOTS}))) as hour_idx) g left join {_SLOTS} s on s.hour_idx = g.hour_idx)"
 
 
 def grid(spark, sf_dir):
+    """The nominal hours up to the last bar; hours without one are null."""
     h = F.floor((F.col("open_ms") - START) / HOUR)
-    return hour_bars(spark, sf_dir, "ALL").select(F.lit(2024).cast("int").alias("year"), h.alias("hour_idx"), F.when(~(h % 29).isin(0, 1), F.col("close") - F.col("open")).cast("long").alias("d"))
+    slots = hour_bars(spark, sf_dir, "ALL").select(h.alias("hour_idx"), (F.col("close") - F.col("open")).alias("d"))
+    nominal = slots.agg(F.max("hour_idx").alias("last")).select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))).alias("hour_idx"))
+    d = F.when(~(F.col("hour_idx") % 29).isin(0, 1), F.col("d")).cast("long")
+    return nominal.join(slots, "hour_idx", "left").select(F.lit(2024).cast("int").alias("year"), "hour_idx", d.alias("d"))
 
 
 def hours(spark, sf_dir):
