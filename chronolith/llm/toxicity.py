@@ -24,10 +24,12 @@ WINDOW, STRIDE = 32, 24
 SIZE, HIDDEN = 8, 8
 WORD_ROWS, CHAR_ROWS = 1 << 15, 1 << 15
 #: Labelled rows of each class that the network is trained on at most.
-TRAINING_ROWS = 1500
+TRAINING_ROWS = 800
 EPOCHS = 16
 #: Windows that are scored together.
 BLOCK = 1024
+#: Words that are embedded together.
+WORD_BLOCK = 8192
 #: Different words that a worker keeps the inputs of.
 MOST_WORDS = 150_000
 GROUP_BYTES = 4 << 20
@@ -47,7 +49,7 @@ class Pieces:
             cores.append((low.strip(_EDGES) or low).encode())
         self.word = np.fromiter((crc32(c) % WORD_ROWS for c in cores), np.int64, len(cores))
         framed = [b"^" + c + b"$" for c in cores]
-        data = np.frombuffer(b"".join(framed), np.uint8).astype(np.int64)
+        data = np.frombuffer(b"".join(framed), np.uint8)
         sizes = np.fromiter(map(len, framed), np.int64, len(framed))
         ends = np.cumsum(sizes)
         rows, owner = [], []
@@ -59,10 +61,10 @@ class Pieces:
                 for k in range(n):
                     h = (h + data[at + k].astype(np.uint64) + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
                     h ^= h >> np.uint64(29)
-            rows.append((h >> np.uint64(20)).astype(np.int64) % CHAR_ROWS)
+            rows.append((h >> np.uint64(20)).astype(np.int32) & (CHAR_ROWS - 1))
             owner.append(np.repeat(np.arange(len(words)), many))
         order = np.argsort(np.concatenate(owner), kind="stable")
-        self.rows = np.concatenate(rows)[order]
+        self.rows = np.concatenate(rows)[order].astype(np.int32)
         self.count = sum(np.maximum(sizes - n + 1, 0) for n in PIECES)
         self.start = np.cumsum(self.count) - self.count
 
@@ -74,12 +76,16 @@ def ragged(start: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 def embed(model: Model, pieces: Pieces, which: np.ndarray | None = None) -> np.ndarray:
-    """Inputs of the words ``which`` (all by default)."""
+    """Inputs of the words ``which`` (all by default), a block of words at a time."""
     which = np.arange(len(pieces.word)) if which is None else which
-    count = pieces.count[which]
-    sums = np.concatenate([np.zeros((1, SIZE)), np.cumsum(model["char"][pieces.rows[ragged(pieces.start[which], count)]], axis=0, dtype=np.float64)])
-    end = np.cumsum(count)
-    return (model["word"][pieces.word[which]] + (sums[end] - sums[end - count]) / np.maximum(count, 1)[:, None]).astype(np.float32)
+    out = np.empty((len(which), SIZE), np.float32)
+    for low in range(0, len(which), WORD_BLOCK):
+        part = which[low : low + WORD_BLOCK]
+        count = pieces.count[part]
+        sums = np.concatenate([np.zeros((1, SIZE)), np.cumsum(model["char"][pieces.rows[ragged(pieces.start[part], count)]], axis=0, dtype=np.float64)])
+        end = np.cumsum(count)
+        out[low : low + WORD_BLOCK] = model["word"][pieces.word[part]] + (sums[end] - sums[end - count]) / np.maximum(count, 1)[:, None]
+    return out
 
 
 def window_starts(n: int) -> list[int]:
@@ -277,7 +283,7 @@ def train(texts: list[str], labels: list[int], seed: int = 5, epochs: int = EPOC
     model["char"][:, 1] = np.clip(odds["char"], -0.5, 3)
     windows = [(k, s) for k, words in enumerate(split) for s in window_starts(len(words))]
     owner = np.array([k for k, _ in windows])
-    rows = np.full((len(windows), WINDOW), -1, np.int64)
+    rows = np.full((len(windows), WINDOW), -1, np.int32)
     for i, (k, s) in enumerate(windows):
         part = ids[k][s : s + WINDOW]
         rows[i, : len(part)] = part
