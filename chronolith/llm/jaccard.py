@@ -43,8 +43,8 @@ BROADCAST_ROWS = 500_000
 #: Members of a bucket from which on a second signature must agree as well.
 LARGE_BUCKET = 4096
 #: Signatures gathered for one reduce task.
-TASK_SIGNATURES = 2_000_000
-GROUP_BYTES = 8 << 20
+TASK_SIGNATURES = 1_000_000
+GROUP_BYTES = 3 << 20
 SIGNATURE_BITS = 40
 
 
@@ -399,7 +399,7 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     described = stage(texts.mapInArrow(lambda x: _describe(x, k), "doc_id long, n long, key1 long, key2 long"), "jaccard-sets")
     classes = stage(described.filter("n > 0 and doc_id is not null").groupBy("key1", "key2", "n").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // (3 * TASK_SIGNATURES) + 1)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * total // (2 * TASK_SIGNATURES) + 1)  # about 1.5 signatures a shingle
     labels = part_labels(spark, tasks)
     packed = texts.mapInArrow(lambda x: _index(x, k, percent, labels), "part int, keys binary, nodes binary").repartition(tasks, "part")
     buckets = stage(packed.mapInArrow(_buckets, "key long, node long, lead long"), "jaccard-buckets")
