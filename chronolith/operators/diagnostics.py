@@ -19,6 +19,8 @@ from chronolith.operators.features import average_rank
 BLOCK_HOURS = 168
 PHASES = 24
 PHASE_SEED, IC_SEED = 20260830, 20260829
+#: Replicates of the circular bootstrap that a task works on.
+REPLICATES_PER_TASK = 100
 M64 = 2**64 - 1
 
 
@@ -221,30 +223,34 @@ def ic_resampling(values: DataFrame, value: str = "ic", replicates: int = 10_000
     return values.withColumn("all__", F.lit(0)).groupBy("all__").applyInPandas(run, "n long, mean double, ci_low double, ci_high double, p_value double")
 
 
-def circular_block_bootstrap(scored: DataFrame, replicates: int = 1000, block: int = BLOCK_HOURS, seed: int = PHASE_SEED) -> DataFrame:
+def circular_block_bootstrap(scored: DataFrame, replicates: int = 10_000, block: int = BLOCK_HOURS, seed: int = PHASE_SEED) -> DataFrame:
     """One-sided lower bound of the mean of AUC - 0.5 over phases, by circular
     blocks of whole rows (ceil(n / block) blocks, not cut to n). Replicates are
-    spread over tasks, each with its own generator."""
-    rows = scored.select("row_index", "score", "label").orderBy("row_index")
-    packed = rows.agg(F.array_sort(F.collect_list(F.struct("row_index", "score", "label"))).alias("xs"))
-    spread = packed.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-
-    @F.pandas_udf("double")
-    def statistic(xs: pd.Series, replicate: pd.Series) -> pd.Series:
+    spread over tasks in runs, each replicate with its own generator."""
+    run = REPLICATES_PER_TASK
+    packed = scored.select("row_index", "score", "label").agg(F.array_sort(F.collect_list(F.struct("row_index", "score", "label"))).alias("xs"))
+    # one row, read once by every run
+    spread = scored.sparkSession.range(0, replicates, run, -(-replicates // run)).crossJoin(F.broadcast(packed))
+
+    @F.pandas_udf("array<double>")
+    def statistics(xs: pd.Series, first: pd.Series) -> pd.Series:
         out = []
-        for items, k in zip(xs, replicate, strict=True):
+        for items, low in zip(xs, first.tolist(), strict=True):
             score = np.array([x["score"] for x in items])
             label = np.array([x["label"] for x in items])
             phase = np.array([x["row_index"] for x in items]) % PHASES
             n = len(score)
-            rng = random.Random(f"{seed}:{k}")
-            at = np.concatenate([(np.arange(block) + rng.randrange(n)) % n for _ in range(-(-n // block))])
-            cells = [auc_plain(score[at][phase[at] == h], label[at][phase[at] == h]) for h in range(PHASES)]
-            known = [c - 0.5 for c in cells if c is not None]
-            out.append(float(np.mean(known)) if known else None)
+            values = []
+            for k in range(low, min(low + run, replicates)):
+                rng = random.Random(f"{seed}:{k}")
+                at = np.concatenate([(np.arange(block) + rng.randrange(n)) % n for _ in range(-(-n // block))])
+                cells = [auc_plain(score[at][phase[at] == h], label[at][phase[at] == h]) for h in range(PHASES)]
+                known = [c - 0.5 for c in cells if c is not None]
+                values.append(float(np.mean(known)) if known else None)
+            out.append(values)
         return pd.Series(out)
 
-    values = spread.select("replicate", statistic("xs", "replicate").alias("t"))
+    values = spread.select("id", F.posexplode(statistics("xs", "id")).alias("at", "t")).select((F.col("id") + F.col("at")).alias("replicate"), "t")
     w = Window.orderBy("t", "replicate")
     return values.withColumn("rank__", F.row_number().over(w) - 1).agg(F.count("t").alias("replicates"), F.max(F.when(F.col("rank__") == int(0.05 * replicates), F.col("t"))).alias("lower"), F.avg("t").alias("mean"))
 

@@ -362,26 +362,30 @@ def stream_seeds(spark, sf_dir):
     return rows.select("label", "year", F.floor(seed / 16).cast("long").alias("seed60"))
 
 
+#: Replicates of the moving-block bootstrap, a fixed value; the other two have theirs as defaults.
+BLOCK_REPLICATES = 20_000
+
+
 @query("bootstrap_moving_block")
 def bootstrap_moving_block(spark, sf_dir):
-    return D.bootstrap(grid(spark, sf_dir), hours(spark, sf_dir), "candidate-vs-b2", 2000)
+    return D.bootstrap(grid(spark, sf_dir), hours(spark, sf_dir), "candidate-vs-b2", BLOCK_REPLICATES)
 
 
 @query("bootstrap_multiplicity")
 def bootstrap_multiplicity(spark, sf_dir):
     h = hours(spark, sf_dir)
-    return D.multiplicity_digest(D.block_starts(h, "candidate-vs-b2", 200), h)
+    return D.multiplicity_digest(D.block_starts(h, "candidate-vs-b2", BLOCK_REPLICATES), h)
 
 
 @query("ic_resampling")
 def ic_resampling(spark, sf_dir):
     ics = V.ic_records(tested(spark, sf_dir)).filter("feature = 'f_roc_60'").select("fold_id", F.col("pearson_ic").alias("ic"))
-    return D.ic_resampling(ics, replicates=2000)
+    return D.ic_resampling(ics)
 
 
 @query("phase_bootstrap")
 def phase_bootstrap(spark, sf_dir):
-    return D.circular_block_bootstrap(phased(spark, sf_dir), replicates=200)
+    return D.circular_block_bootstrap(phased(spark, sf_dir))
 
 
 def sided(spark, sf_dir):
