@@ -5,6 +5,7 @@ import os
 
 import pytest
 
+from chronolith.llm import toxicity
 from chronolith.operators import diagnostics as D
 from chronolith.plans import catalogue
 from chronolith.plans import research_sql as R
@@ -45,3 +46,9 @@ def test_circular_bootstrap_runs(spark):
         assert (cut.replicates, cut.lower) == (150, whole.lower) and cut.mean == pytest.approx(whole.mean)
     finally:
         D.REPLICATES_PER_TASK = D_run
+
+
+def test_toxicity_learns_from_1500_rows_a_class(spark):
+    ids = spark.range(2500)
+    texts, labels = toxicity.training_rows(ids.selectExpr("id as doc_id", "'a' as text"), ids.selectExpr("id as doc_id", "0 as toxic"))
+    assert len(texts) == len(labels) == 1500
