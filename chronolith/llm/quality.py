@@ -58,7 +58,7 @@ def line_features(line: bytes, words: list[bytes], earlier: bool) -> list[int]:
         if line.count(b"|") >= 2:
             on.append(7)
     letters = line.decode("utf-8", "replace")
-    if sum(map(str.isupper, letters[:400])) > 0.5 * min(len(letters), 400):
+    if 2 * sum(map(str.isupper, letters)) > len(letters):
         on.append(8)
     if 3 * line.count(b"!") > n:
         on.append(9)

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from chronolith.llm import toxicity
+from chronolith.llm import quality, toxicity
 from chronolith.operators import diagnostics as D
 from chronolith.plans import catalogue
 from chronolith.plans import research_sql as R
@@ -52,3 +52,11 @@ def test_toxicity_learns_from_1500_rows_a_class(spark):
     ids = spark.range(2500)
     texts, labels = toxicity.training_rows(ids.selectExpr("id as doc_id", "'a' as text"), ids.selectExpr("id as doc_id", "0 as toxic"))
     assert len(texts) == len(labels) == 1500
+
+
+def test_capitals_are_counted_over_the_whole_line():
+    capitals = quality.FEATURES.index("capitals")
+    has = lambda text: capitals in quality.line_features(text.encode(), text.encode().split(), False)
+    prose, shouting = "quiet words here " * 30, "LOUD WORDS HERE " * 30
+    assert has(prose + shouting * 3) and not has(shouting + prose * 3)
+    assert has(shouting) and not has(prose)
