@@ -243,10 +243,13 @@ def _index(batches: Iterable[pa.RecordBatch], k: int, percent: int, labels: list
 
 
 def _pack_nodes(node: np.ndarray) -> bytes:
-    """Runs of equal nodes as their lengths and values."""
+    """Runs of equal nodes as their lengths and values; runs over 65,535 are split."""
     edges = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
-    lengths = np.diff(np.append(edges, len(node))).astype(np.uint16)
-    return np.uint64(len(edges)).tobytes() + node[edges].tobytes() + lengths.tobytes()
+    runs = np.diff(np.append(edges, len(node)))
+    pieces = (runs + 65534) // 65535
+    lengths = np.full(pieces.sum(), 65535, np.uint16)
+    lengths[np.cumsum(pieces) - 1] = runs - 65535 * (pieces - 1)
+    return np.uint64(len(lengths)).tobytes() + np.repeat(node[edges], pieces).tobytes() + lengths.tobytes()
 
 
 def _unpack_nodes(data: bytes) -> np.ndarray:

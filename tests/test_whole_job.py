@@ -3,9 +3,10 @@
 import hashlib
 import os
 
+import numpy as np
 import pytest
 
-from chronolith.llm import quality, toxicity
+from chronolith.llm import jaccard, quality, toxicity
 from chronolith.operators import diagnostics as D
 from chronolith.plans import catalogue
 from chronolith.plans import research_sql as R
@@ -60,3 +61,9 @@ def test_capitals_are_counted_over_the_whole_line():
     prose, shouting = "quiet words here " * 30, "LOUD WORDS HERE " * 30
     assert has(prose + shouting * 3) and not has(shouting + prose * 3)
     assert has(shouting) and not has(prose)
+
+
+@pytest.mark.parametrize("run", [1, 65_535, 65_536, 131_070, 200_001])
+def test_long_runs_of_nodes_are_packed_whole(run):
+    node = np.concatenate([np.full(3, 7), np.full(run, -4), np.full(2, 7)]).astype(np.int64)
+    assert np.array_equal(jaccard._unpack_nodes(jaccard._pack_nodes(node)), node)
