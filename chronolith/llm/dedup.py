@@ -50,14 +50,16 @@ def stream_state(table: DataFrame, state_dir: str | None = None, files_per_batch
 
     All its files are read in micro-batches until none is left. With a
     ``state_dir`` of an earlier run, only files that are new go through and the
-    state goes on from where it was. Returns the state: digest, keep_id,
-    locator, group_size.
+    state goes on from where it was. A table in several folders is refused.
+    Returns the state: digest, keep_id, locator, group_size.
     """
     spark = table.sparkSession
     root = state_dir or f"{shared_dir(spark)}/chronolith/dedup-state-{uuid.uuid4().hex}"
     paths = sorted({x.rsplit("/", 1)[0] for x in table.inputFiles()})
     if not paths:
         return spark.createDataFrame([], "digest string, keep_id long, locator struct<row:long,bytes:long>, group_size long")
+    if len(paths) > 1:
+        raise ValueError(f"the table's files lie in {len(paths)} folders; write it to one first")
     stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files_per_batch).parquet(paths[0])
     best = F.max(F.struct("doc_id", "locator"))
     state = stream.groupBy("digest").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))

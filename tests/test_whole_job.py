@@ -6,7 +6,7 @@ import os
 import numpy as np
 import pytest
 
-from chronolith.llm import jaccard, quality, toxicity
+from chronolith.llm import dedup, jaccard, quality, toxicity
 from chronolith.operators import diagnostics as D
 from chronolith.plans import catalogue
 from chronolith.plans import research_sql as R
@@ -67,3 +67,12 @@ def test_capitals_are_counted_over_the_whole_line():
 def test_long_runs_of_nodes_are_packed_whole(run):
     node = np.concatenate([np.full(3, 7), np.full(run, -4), np.full(2, 7)]).astype(np.int64)
     assert np.array_equal(jaccard._unpack_nodes(jaccard._pack_nodes(node)), node)
+
+
+def test_state_of_several_folders_is_refused(spark, tmp_path):
+    rows = dedup.digests(spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string"))
+    for name in "xy":
+        rows.write.parquet(str(tmp_path / name))
+    assert dedup.stream_state(spark.read.parquet(str(tmp_path / "x"))).count() == 2
+    with pytest.raises(ValueError, match="2 folders"):
+        dedup.stream_state(spark.read.parquet(str(tmp_path / "x"), str(tmp_path / "y")))
