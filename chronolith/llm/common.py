@@ -51,6 +51,14 @@ def worker_cache(name: str, make):
     return kept[name]
 
 
+def worker_slot(name: str, key: str, make):
+    """Like :func:`worker_cache`, but only the object of the last ``key`` is kept."""
+    kept = sys.__dict__.setdefault("_chronolith_cache", {})
+    if kept.get(name, (None,))[0] != key:
+        kept[name] = (key, make())
+    return kept[name][1]
+
+
 def text_of(column: str | Column) -> Column:
     """A text column with null as the empty string."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

@@ -10,6 +10,7 @@ are scored. Everything is trained in numpy on a bounded sample of labelled rows.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 from zlib import crc32
 
@@ -18,13 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronolith.llm.common import text_of, worker_cache
+from chronolith.llm.common import text_of, worker_slot
 
 WINDOW, STRIDE = 32, 24
 SIZE, HIDDEN = 8, 8
 WORD_ROWS, CHAR_ROWS = 1 << 15, 1 << 15
 #: Labelled rows of each class that the network is trained on at most.
 TRAINING_ROWS = 1500
+#: Bytes of text of each class that the network is trained on at most.
+TRAINING_BYTES = 32 << 20
 EPOCHS = 16
 #: Windows that are scored together.
 BLOCK = 1024
@@ -328,16 +331,43 @@ def train(texts: list[str], labels: list[int], seed: int = 5, epochs: int = EPOC
     return model
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS, folds: int = 5) -> tuple[list[str], list[int]]:
+def training_rows(
+    docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS, folds: int = 5, most_bytes: int = TRAINING_BYTES, id_col: str = "doc_id", text_col: str = "text"
+) -> tuple[list[str], list[int]]:
     """Texts and labels of at most ``most`` rows of each class, chosen by a hash
-    of the id among those whose ``crc32(id) mod folds`` is not 0. Rows without
-    label or id are not used; of several labels of an id the least counts."""
-    usable = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % folds != 0)).groupBy("doc_id").agg(F.min("toxic").alias("toxic"))
+    of the id among those whose ``crc32(id) mod folds`` is not 0.
+
+    Rows without label or id are not used; of several labels of an id and of
+    several texts of an id the least counts. Texts are whole; the sample of a
+    class ends before the row with which its texts exceed ``most_bytes``.
+    """
+    of_id = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    labelled = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
+    usable = labelled.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (of_id % folds != 0)).groupBy("doc_id").agg(F.min("toxic").alias("toxic"))
     spread = F.xxhash64("doc_id")
     chosen = usable.filter("toxic = 1").orderBy(spread, "doc_id").limit(most).union(usable.filter("toxic = 0").orderBy(spread, "doc_id").limit(most))
-    rows = docs.select("doc_id", text_of("text").alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
-    return [r["text"] for r in rows], [r["toxic"] for r in rows]
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    sized = texts.select("doc_id", F.octet_length("text").alias("bytes")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.max("bytes").alias("bytes")).select("*", spread.alias("place")).collect()
+    taken, held = {}, {0: 0, 1: 0}
+    for r in sorted(sized, key=lambda r: (r["place"], r["doc_id"])):
+        held[r["toxic"]] += r["bytes"]
+        if held[r["toxic"]] <= most_bytes:
+            taken[r["doc_id"]] = r["toxic"]
+    if not taken:
+        return [], []
+    ids = docs.sparkSession.createDataFrame([(i,) for i in taken], "doc_id long")
+    rows = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).collect()
+    rows.sort(key=lambda r: r["doc_id"])
+    return [r["text"] for r in rows], [taken[r["doc_id"]] for r in rows]
+
+
+def fingerprint(model: Model) -> str:
+    """A digest of all weights: workers know a model by it."""
+    digest = hashlib.sha256()
+    for k in sorted(model):
+        digest.update(f"{k}{model[k].shape}{model[k].dtype}".encode())
+        digest.update(np.ascontiguousarray(model[k]).tobytes())
+    return digest.hexdigest()
 
 
 def score(docs: DataFrame, model: Model, folds: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -347,10 +377,11 @@ def score(docs: DataFrame, model: Model, folds: int = 5, id_col: str = "doc_id",
     stays null and is not held out; an empty table gives an empty result; other
     columns are ignored.
     """
+    name = fingerprint(model)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        inputs = worker_cache(f"toxicity-{shared.id if hasattr(shared, 'id') else id(shared)}", lambda: Inputs(shared.value))
+        inputs = worker_slot("toxicity", name, lambda: Inputs(shared.value))
         for batch in batches:
             at = 0
             texts = batch.column(1).to_pylist()

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 import re
 from itertools import product
 
@@ -317,3 +318,59 @@ def test_arc_round_trip(version):
 @given(st.integers(-(2**63), 2**63 - 1), st.binary(max_size=9))
 def test_identifiers_hold_their_key(key, salt):
     assert warc.key_of(warc.record_id(key, salt)) == key
+
+
+def test_two_models_in_turn(spark):
+    """Workers that are reused score with the model that was asked for."""
+    docs = spark.createDataFrame([(k, "some words of a text " * (k + 1)) for k in range(8)], "doc_id long, text string").repartition(4)
+    for turn in range(6):
+        model = toxicity.new_model(0)
+        model["wo"][:] = 0
+        model["bo"][:] = 5 if turn % 2 else -5
+        assert {r.predicted for r in toxicity.score(docs, model).collect()} == {turn % 2}
+
+
+def _window_score(model, words):
+    """One window by the definition, step by step in double precision."""
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    x = toxicity.embed(model, toxicity.Pieces(words)).astype(float)
+    n = toxicity.HIDDEN
+    states = {}
+    for side, order in (("f", range(len(x))), ("b", range(len(x) - 1, -1, -1))):
+        h = np.zeros(n)
+        for t in order:
+            p, q = x[t] @ model[f"W{side}"] + model[f"b{side}"], h @ model[f"U{side}"]
+            z, r = sig(p[:n] + q[:n]), sig(p[n : 2 * n] + q[n : 2 * n])
+            new = np.tanh(p[2 * n :] + r * q[2 * n :])
+            h = z * h + (1 - z) * new
+            states[side, t] = h
+    s = np.array([np.concatenate([states["f", t], states["b", t]]) for t in range(len(x))])
+    e = np.tanh(s @ model["Wa"] + model["ba"]) @ model["va"]
+    a = np.exp(e - e.max()) / np.exp(e - e.max()).sum()
+    return float(sig((a @ s) @ model["wo"] + model["bo"][0]))
+
+
+def test_toxicity_by_the_definition(spark):
+    """Every window is recomputed; a document has its worst one's score; the
+    training split follows the id's checksum."""
+    rng = random.Random(3)
+    model = toxicity.new_model(4)
+    noise = np.random.default_rng(1)
+    for k in ("word", "char"):
+        model[k] = noise.normal(size=model[k].shape).astype(np.float32)
+    texts = [" ".join(f"w{rng.randrange(300)}" for _ in range(n)) for n in (1, 5, 31, 32, 33, 56, 57, 200, 2000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    for k, t in enumerate(texts):
+        words = t.encode().split()
+        starts = [s for s in range(0, max(1, len(words) - 32), 24)] + ([len(words) - 32] if len(words) > 32 else [])
+        want = max(_window_score(model, words[s : s + 32]) for s in starts)
+        assert got[k].score == pytest.approx(want, abs=1e-4)
+        assert got[k].predicted == int(got[k].score >= 0.5) and got[k].held_out == (zlib.crc32(str(k).encode()) % 5 == 0)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(9)] + [(2, 1), (None, 1), (77, 0)], "doc_id long, toxic int")
+    sample, marks = toxicity.training_rows(docs.unionByName(docs.limit(2)), labels)
+    used = [k for k in range(9) if zlib.crc32(str(k).encode()) % 5]
+    assert sample == [texts[k] for k in used] and marks == [k % 2 for k in used]
+    few, _ = toxicity.training_rows(docs, labels, most=1)
+    assert len(few) == 2
+    assert toxicity.training_rows(docs, labels, most_bytes=0) == ([], [])
