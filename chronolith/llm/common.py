@@ -34,13 +34,67 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+#: Shuffle files of a staged table's plan go when it has been written.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a cut in the lineage
-    that survives lost executors."""
+    that survives lost executors. :func:`drop` deletes the table."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/chronolith/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    was = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if was is None else spark.conf.set(CLEANUP, was)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.staged_at = path
+    return table
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that it lies in."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for table in tables:
+        delete(table.sparkSession, table.staged_at)
+
+
+class Staging:
+    """The staged tables of one run: those that are not kept go at its end.
+
+    ``with Staging() as own: ... own.stage(df, name) ... own.keep(table)``
+    """
+
+    def __init__(self) -> None:
+        self.tables: list[DataFrame] = []
+
+    def __enter__(self) -> "Staging":
+        return self
+
+    def __exit__(self, *failure) -> None:
+        drop(*self.tables)
+        self.tables = []
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables.append(stage(df, name))
+        return self.tables[-1]
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        """``table`` stays, for what is read from it later."""
+        self.tables = [t for t in self.tables if t is not table]
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            self.keep(table)
+            drop(table)
 
 
 def worker_cache(name: str, make):
@@ -62,3 +116,11 @@ def worker_slot(name: str, key: str, make):
 def text_of(column: str | Column) -> Column:
     """A text column with null as the empty string."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

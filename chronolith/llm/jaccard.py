@@ -9,11 +9,14 @@ so the segments on which a similar pair meets weigh more than the slack. How
 many segments are wide is chosen by cost. The slack pays for segments that are
 empty in a document: they are not indexed unless too many are.
 
-Buckets of the index are not expanded into pairs. Each is first checked as a
-star around one member; what that links is contracted, and only buckets that
-still hold several components are searched for further pairs, of which a size
-bound and a parity sketch, both exact, rule out most. Every link is verified on
-the whole sets.
+Buckets of the index are not expanded into pairs. Buckets of the same members
+count as one. In each the members are tried along a shallow tree first; what
+that links is contracted. In buckets that still hold several components every
+member names one member of another component, of which a size bound and a
+parity sketch, both exact, rule out most; rounds go on until they link nothing
+more, over the members for which something is left to try. What is open then is
+searched for every pair. A large bucket is dealt out as pairs of blocks. Every
+link is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -29,19 +32,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronolith.llm.common import stage, text_of
+from chronolith.llm.common import Staging, drop, text_of, unused
 
 #: Ratio of the largest to the smallest size of a band.
 BAND_RATIO = 1.4
 #: What a segment that is empty by chance costs, in signatures.
 EMPTY_COST = 100.0
-SKETCH_WORDS = 16
-#: Star rounds before buckets that still hold several components are searched.
-STARS = 2
+#: Cells of a sketch, by element, and least 64-bit words of one.
+SKETCH_CELLS, SKETCH_WORDS = 2, 4
+#: Members of a bucket that are tried against the same one at first.
+FANOUT = 32
 #: Rows that are broadcast at most; beyond it a shuffled join is used.
 BROADCAST_ROWS = 500_000
-#: Members of a bucket from which on a second signature must agree as well.
-LARGE_BUCKET = 4096
+#: Members of a bucket in one block, and pairs of one document in one task.
+BLOCK, SHARE = 2048, 64
 #: Signatures gathered for one reduce task.
 TASK_SIGNATURES = 1_000_000
 GROUP_BYTES = 3 << 20
@@ -83,10 +87,22 @@ def set_key(tokens: np.ndarray) -> tuple[int, int]:
 
 
 def sketch(tokens: np.ndarray) -> bytes:
-    """Parity of the tokens in each of 64 * ``SKETCH_WORDS`` cells: two sketches
-    differ in at most as many cells as their sets do in elements."""
-    cells = (mix(tokens, 303) & np.uint64(64 * SKETCH_WORDS - 1)).astype(np.int64)
-    return np.packbits(np.bincount(cells, minlength=64 * SKETCH_WORDS) & 1).tobytes()
+    """Parity of the tokens in each of its cells, a power of two of them: two
+    sketches differ in at most as many cells as their sets do in elements, and
+    so do they when the longer one is folded to the length of the other."""
+    cells = 64 * SKETCH_WORDS
+    while cells < SKETCH_CELLS * len(tokens):
+        cells *= 2
+    at = (mix(tokens, 303) & np.uint64(cells - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=cells) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def fold(words: np.ndarray, to: int) -> np.ndarray:
+    """Sketches (rows of 64-bit words) as those with ``to`` words would be."""
+    while words.shape[1] > to:
+        half = words.shape[1] // 2
+        words = words[:, :half] ^ words[:, half:]
+    return words
 
 
 class Scheme(NamedTuple):
@@ -204,12 +220,13 @@ def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple[int | None,
 
 
 def _describe(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    types = [pa.int64()] * 4 + [pa.binary()]
     for rows in _texts(batches):
         out = []
         for key, text in rows:
             tokens = shingles(text, k)
-            out.append((key, len(tokens), *set_key(tokens)))
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["doc_id", "n", "key1", "key2"])
+            out.append((key, len(tokens), *set_key(tokens), sketch(tokens)))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["doc_id", "n", "key1", "key2", "sketch"])
 
 
 def _index(batches: Iterable[pa.RecordBatch], k: int, percent: int, labels: list[int]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +276,9 @@ def _unpack_nodes(data: bytes) -> np.ndarray:
 
 def _buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Members of buckets of two nodes or more, one of them of the scheme's own
-    band: (key, node, lead)."""
+    band: (bucket, node, lead). ``bucket`` is a hash of all its members, so that
+    buckets of the same members are one; ``lead`` stands above the member in a
+    tree over them."""
     width = SIGNATURE_BITS // 8
     by_part: dict[int, list[tuple[bytes, bytes]]] = {}
     for batch in batches:
@@ -272,100 +291,249 @@ def _buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key[:, :width] = raw
         key = key.view(np.int64).ravel()
         node = np.concatenate([_unpack_nodes(x[1]) for x in packed])
+        del raw, packed
         order = np.lexsort((node, key))
         key, node = key[order], node[order]
         new = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))
         key, node = key[new], node[new]
         own, node = node & 1 == 0, node & -2
-        first = np.concatenate(([True], key[1:] != key[:-1]))
-        group = np.cumsum(first) - 1
-        sizes = np.bincount(group)
-        lead = node[np.flatnonzero(first)][group]
-        many = (sizes[group] > 1) & (np.bincount(group, own)[group] > 0)
-        if many.any():
-            yield pa.RecordBatch.from_arrays([pa.array(key[many]), pa.array(node[many]), pa.array(lead[many])], names=["key", "node", "lead"])
+        start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        size = np.diff(np.append(start, len(key)))
+        with np.errstate(over="ignore"):
+            bucket = mix(np.add.reduceat(mix(node.view(np.uint64), 404), start) + size.astype(np.uint64), 405)
+        many = np.flatnonzero((size > 1) & np.logical_or.reduceat(own, start))
+        many = many[np.unique(bucket[many], return_index=True)[1]]
+        if not len(many):
+            continue
+        count = size[many]
+        rank = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        first = np.repeat(start[many], count)
+        above = first + np.maximum(rank - 1, 0) // FANOUT
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(bucket[many], count).view(np.int64)), pa.array(node[first + rank]), pa.array(node[above])], names=["bucket", "node", "lead"])
 
 
 def _sets(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    types = [pa.int64(), pa.int64(), pa.list_(pa.int64())]
     for rows in _texts(batches):
-        out = [(key, len(tokens), sketch(tokens), tokens.view(np.int64)) for key, tokens in ((key, shingles(text, k)) for key, text in rows)]
-        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.binary()), pa.array([x[3] for x in out], pa.list_(pa.int64()))], names=["id", "n", "sketch", "tokens"])
+        out = [(key, len(tokens), tokens.view(np.int64)) for key, tokens in ((key, shingles(text, k)) for key, text in rows)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["id", "n", "tokens"])
+
+
+def _allowed(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Of pairs (a, b) with sizes and sketches, those that these do not rule out."""
+    for batch in batches:
+        na, nb = (batch.column(k).to_numpy() for k in (2, 3))
+        keep = 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)
+        limit = (na + nb) * (100 - percent) // (100 + percent)
+        for i in np.flatnonzero(keep).tolist():
+            x, y = (np.frombuffer(batch.column(k)[i].as_buffer(), np.uint64)[None] for k in (4, 5))
+            to = min(x.shape[1], y.shape[1])
+            keep[i] = np.bitwise_count(fold(x, to) ^ fold(y, to)).sum() <= limit[i]
+        yield batch.filter(pa.array(keep)).select(["a", "b"])
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
-    left = _few(sets, pairs.select(F.col("a").alias("id")).distinct(), "id").select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
+    """The pairs (a, b) whose whole sets are similar enough.
+
+    The pairs of an ``a`` that is in many are dealt out in shares, each with a
+    copy of its set. ``pairs`` is a staged table."""
+    few = pairs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    hint = F.broadcast if few else lambda x: x
+    shares = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("shares"))
+    dealt = pairs.join(hint(shares), "a").select("a", "b", F.pmod(F.hash("b"), F.col("shares")).alias("share"))
+    left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta")).join(hint(shares), "a").select("a", "na", "ta", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
     right = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
-    close = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-    few = pairs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    found = right.join(F.broadcast(pairs) if few else pairs, "b").join(left, "a").filter(close)
+    close = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+    found = right.join(hint(dealt), "b").join(left, ["a", "share"]).filter(close)
     return found.filter(100 * both >= percent * (F.col("na") + F.col("nb") - both)).select("a", "b")
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """id and label (the least id that can be reached) of all ends of ``edges``.
+    """id and label (the least id that can be reached) of all ends of ``edges``,
+    as a staged table.
 
     Each round takes the least label among neighbours and then the label of
     that label; both are partial minimums over joins, so a node with very many
-    edges is no large group. Rounds end when no label changes.
+    edges is no large group. Rounds end when no label changes. Ends that are
+    null link nothing; edges may repeat and may join a node to itself; without
+    edges the result is empty.
     """
-    both = stage(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), f"{name}-edges")
-    labels = stage(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("label")), f"{name}-labels")
-    while True:
-        near = both.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        step = labels.join(near, labels["id"] == near["a"]).select("id", "label", F.least("label", "near").alias("next"))
-        jump = step.join(labels.select(F.col("id").alias("of"), F.col("label").alias("far")), F.col("next") == F.col("of"), "left")
-        moved = stage(jump.select("id", F.col("label").alias("was"), F.least("next", "far").alias("label")), f"{name}-labels")
-        labels = moved.select("id", "label")
-        if moved.filter("was <> label").isEmpty():
-            return labels
-
-
-def _across(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs in sorted buckets that lie in different components and that size and
-    sketch do not rule out."""
-    def pairs(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        ids, comp, n = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
-        bits = np.frombuffer(b"".join(r[4] for r in rows), np.uint64).reshape(-1, SKETCH_WORDS)
-        order = np.argsort(n, kind="stable")
-        ids, comp, n, bits = ids[order], comp[order], n[order], bits[order]
-        a, b = [], []
-        for i in range(len(ids) - 1):
-            end = int(np.searchsorted(n, n[i] * 100 // percent, side="right"))
-            if end <= i + 1:
-                continue
-            differ = np.bitwise_count(bits[i + 1 : end] ^ bits[i]).sum(axis=1)
-            allowed = (n[i + 1 : end] + n[i]) * (100 - percent) // (100 + percent)
-            hit = np.flatnonzero((differ <= allowed) & (comp[i + 1 : end] != comp[i])) + i + 1
-            a.append(np.full(len(hit), ids[i]))
-            b.append(ids[hit])
-        return (np.concatenate(a), np.concatenate(b)) if a else (np.empty(0, np.int64), np.empty(0, np.int64))
+    edges = edges.filter("a is not null and b is not null")
+    with Staging() as own:
+        both = own.stage(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-edges")
+        labels = own.stage(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("label"), F.lit(True).alias("moved")), f"{name}-labels")
+        while not labels.filter("moved").isEmpty():
+            near = both.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
+            step = labels.join(near, labels["id"] == near["a"]).select("id", "label", F.least("label", "near").alias("next"))
+            jump = step.join(labels.select(F.col("id").alias("of"), F.col("label").alias("far")), F.col("next") == F.col("of"), "left")
+            new = F.least("next", "far")
+            after = own.stage(jump.select("id", new.alias("label"), (F.col("label") != new).alias("moved")), f"{name}-labels")
+            own.drop(labels)
+            labels = after
+        kept = own.keep(labels)
+    out = kept.select("id", "label")
+    out.staged_at = kept.staged_at
+    return out
 
-    def batch_of(found: set[tuple[int, int]]) -> pa.RecordBatch:
-        ordered = sorted(found)
-        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in ordered], pa.int64()), pa.array([x[1] for x in ordered], pa.int64())], names=["a", "b"])
 
-    found: set[tuple[int, int]] = set()
+class Found(NamedTuple):
+    """What is open in one bucket: named pairs (a, b) with the components of
+    both and how many b might have named; ``live`` members are in such a pair."""
 
-    def close(rows: list[tuple]) -> None:
-        if len(rows) > 1:
-            for x, y in zip(*(v.tolist() for v in pairs(rows)), strict=True):
-                found.add((min(x, y), max(x, y)))
+    a: np.ndarray
+    b: np.ndarray
+    comp_a: np.ndarray
+    comp_b: np.ndarray
+    allowed: np.ndarray
+    live: np.ndarray
+    live_comp: np.ndarray
+
+
+def _levels(bits: list[np.ndarray], width: np.ndarray) -> dict[int, tuple[int, np.ndarray]]:
+    """For each width that occurs: the first member with it, and the words (one
+    row each) of that and all later members, folded to this width."""
+    out = {}
+    for w in np.unique(width).tolist():
+        first = int(np.searchsorted(width, w))
+        parts = [fold(np.stack(bits[x:y]), w) for x, y in ((int(np.searchsorted(width, v)), int(np.searchsorted(width, v, side="right"))) for v in np.unique(width[first:]).tolist())]
+        out[w] = (first, np.ascontiguousarray(np.concatenate(parts).T))
+    return out
+
+
+def _near(words: np.ndarray, own: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """Which columns of ``words`` differ from ``own`` in at most ``limit`` cells;
+    a quarter of the words is looked at first, as it rules out most."""
+    quarter = len(words) // 4
+    hit = np.flatnonzero(np.bitwise_count(words[:quarter] ^ own[:quarter, None]).sum(axis=0, dtype=np.int64) <= limit)
+    if len(hit):
+        hit = hit[np.bitwise_count(words[:, hit] ^ own[:, None]).sum(axis=0, dtype=np.int64) <= limit[hit]]
+    return hit
+
+
+def _open_pairs(side: np.ndarray, ids: np.ndarray, comp: np.ndarray, n: np.ndarray, bits: list[np.ndarray], percent: int, every: bool) -> Iterator[Found]:
+    """Pairs of one bucket in different components that size and sketch allow.
+
+    With ``every`` all of them; else each member names the one of the least
+    component (and id) among those below its own. Members of the largest
+    component are not compared with each other.
+    """
+    order = np.argsort(n, kind="stable")
+    side, ids, comp, n, bits = side[order], ids[order], comp[order], n[order], [bits[k] for k in order.tolist()]
+    labels, place, sizes = np.unique(comp, return_inverse=True, return_counts=True)
+    if len(labels) == 1:
+        return
+    main = (place == np.argmax(sizes)) & (sizes.max() > 1)
+    mains = np.flatnonzero(main)
+    width = np.array([len(x) for x in bits])  # it rises with n
+    levels = _levels(bits, width)
+    low, high = np.searchsorted(n, -(-n * percent // 100)).tolist(), np.searchsorted(n, n * 100 // percent, side="right").tolist()
+    best, allowed, live = np.full(len(ids), -1), np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
+    rank = np.empty(len(ids), np.int64)  # by component and id
+    rank[np.lexsort((ids, comp))] = np.arange(len(ids))
+    for i in np.flatnonzero(~main).tolist():
+        hits = []
+        if i + 1 < high[i]:
+            first, words = levels[width[i]]
+            hits.append(_near(words[:, i + 1 - first : high[i] - first], words[:, i - first], (n[i + 1 : high[i]] + n[i]) * (100 - percent) // (100 + percent)) + i + 1)
+        earlier = mains[np.searchsorted(mains, low[i]) : np.searchsorted(mains, i)]
+        for w in np.unique(width[earlier]).tolist() if len(earlier) else ():
+            first, words = levels[w]
+            j = earlier[width[earlier] == w]
+            hits.append(j[_near(words[:, j - first], words[:, i - first], (n[j] + n[i]) * (100 - percent) // (100 + percent))])
+        j = np.concatenate(hits) if hits else np.empty(0, np.int64)
+        if len(j):
+            j = j[(comp[j] != comp[i]) & ((side[j] != side[i]) | (side[j] == 2))]
+        if not len(j):
+            continue
+        if every:
+            below = comp[j] < comp[i]
+            a, b = np.where(below, j, i), np.where(below, i, j)
+            yield Found(ids[a], ids[b], comp[a], comp[b], np.ones(len(j), np.int64), ids[:0], comp[:0])
+            continue
+        live[i] = live[j] = True
+        lower, higher = j[comp[j] < comp[i]], j[comp[j] > comp[i]]
+        allowed[i] += len(lower)
+        allowed[higher] += 1
+        if len(lower):
+            least = lower[np.argmin(rank[lower])]
+            if best[i] < 0 or rank[least] < rank[best[i]]:
+                best[i] = least
+        better = higher[(best[higher] < 0) | (rank[i] < rank[best[higher]])]
+        best[better] = i
+    if live.any():
+        b = np.flatnonzero(best >= 0)
+        a = best[b]
+        yield Found(ids[a], ids[b], comp[a], comp[b], allowed[b], ids[live], comp[live])
+
+
+def _search(batches: Iterable[pa.RecordBatch], percent: int, every: bool) -> Iterator[pa.RecordBatch]:
+    """:func:`_open_pairs` of sorted buckets (key, bucket, side, id, comp, n,
+    sketch), as rows (bucket, a, b, comp_a, comp_b, allowed): pairs, without a
+    bucket, and live members (a) of buckets, without b."""
+    names = ["bucket", "a", "b", "comp_a", "comp_b", "allowed"]
+    pairs: list[Found] = []
+    live: list[tuple[np.ndarray, ...]] = []
+    held, carried = 0, None
+
+    def rows(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+        n = len(columns["a"])
+        return pa.RecordBatch.from_arrays([pa.array(columns[c].astype(np.int64)) if c in columns else pa.nulls(n, pa.int64()) for c in names], names=names)
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        nonlocal pairs, live, held
+        if pairs:
+            table = pd.DataFrame({c: np.concatenate([getattr(x, c) for x in pairs]) for c in names[1:]})
+            table = table.groupby(names[1:5], as_index=False)["allowed"].max()
+            yield rows({c: table[c].to_numpy() for c in names[1:]})
+        if live:
+            yield rows({c: np.concatenate([x[k] for x in live]) for k, c in enumerate(("bucket", "a", "comp_a"))})
+        pairs, live, held = [], [], 0
+
+    def search(table: pa.Table, last: bool) -> None:
+        nonlocal carried, held
+        key = table.column(0).to_numpy()
+        edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        ends = np.append(edges[1:], len(key))
+        if not last:
+            carried = table.slice(edges[-1])
+            edges, ends = edges[:-1], ends[:-1]
+        bucket, side, ids, comp, n = (table.column(k).to_numpy() for k in range(1, 6))
+        sketches = table.column(6)
+        for a, b in zip(edges.tolist(), ends.tolist(), strict=True):
+            if b - a > 1 and (comp[a:b] != comp[a]).any():
+                bits = [np.frombuffer(x.as_buffer(), np.uint64) for x in sketches.slice(a, b - a)]
+                of = dict(zip(ids[a:b].tolist(), bucket[a:b].tolist(), strict=True))
+                for x in _open_pairs(side[a:b], ids[a:b], comp[a:b], n[a:b], bits, percent, every):
+                    pairs.append(x)
+                    live.append((np.array([of[k] for k in x.live.tolist()], np.int64), x.live, x.live_comp))
+                    held += len(x.a) + len(x.live)
 
-    held: list[tuple] = []
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if held and row[0] != held[0][0]:
-                close(held)
-                held = []
-                if len(found) > 500_000:
-                    yield batch_of(found)
-                    found.clear()
-            held.append(row)
-    close(held)
-    if found:
-        yield batch_of(found)
+        table = pa.Table.from_batches([batch])
+        table = table if carried is None else pa.concat_tables([carried, table])
+        carried = None
+        if table.num_rows:
+            search(table, False)
+            if held > 500_000:
+                yield from flush()
+    if carried is not None:
+        search(carried, True)
+    yield from flush()
+
+
+def _members(open_: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Members of open buckets with their sketches, by block pair of a bucket.
+
+    A bucket of ``blocks`` blocks is as many as their pairs: a member goes to
+    the pairs that its block is in, on one side of them (0 or 1), and on both
+    (2) in the pair of its block with itself.
+    """
+    dealt = open_.withColumn("mine", F.pmod(F.hash("id"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    key = F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other"))
+    side = F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1)
+    slim = dealt.select(key.alias("key"), "bucket", side.cast("long").alias("side"), "id", "comp")
+    return slim.join(sketches, "id").select("key", "bucket", "side", "id", "comp", "n", "sketch")
 
 
 def _few(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
@@ -396,37 +564,82 @@ class Join(NamedTuple):
 
 
 def join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> Join:
-    """Links of all documents of ``docs``; see :func:`similar`."""
-    spark = docs.sparkSession
+    """Links of all documents of ``docs``; see :func:`similar`. Its two tables
+    are staged."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    described = stage(texts.mapInArrow(lambda x: _describe(x, k), "doc_id long, n long, key1 long, key2 long"), "jaccard-sets")
-    classes = stage(described.filter("n > 0 and doc_id is not null").groupBy("key1", "key2", "n").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
+    with Staging() as own:
+        described = own.stage(texts.mapInArrow(lambda x: _describe(x, k), "doc_id long, n long, key1 long, key2 long, sketch binary"), "jaccard-sets")
+        keys = ["key1", "key2", "n"]
+        classes = own.stage(described.filter("n > 0 and doc_id is not null").groupBy(*keys).agg(F.min("doc_id").alias("rep")), "jaccard-classes")
+        members = own.keep(own.stage(described.join(classes, keys, "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "jaccard-members"))
+        links = own.keep(_links(own, texts, described, classes, k, percent))
+    return Join(members, links)
+
+
+def _links(own: Staging, texts: DataFrame, described: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """Verified links between the representatives of ``classes``."""
+    spark = texts.sparkSession
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * total // (2 * TASK_SIGNATURES) + 1)  # about 1.5 signatures a shingle
     labels = part_labels(spark, tasks)
     packed = texts.mapInArrow(lambda x: _index(x, k, percent, labels), "part int, keys binary, nodes binary").repartition(tasks, "part")
-    buckets = stage(packed.mapInArrow(_buckets, "key long, node long, lead long"), "jaccard-buckets")
-    reps = classes.select(F.expr("key1 & -2L").alias("node"), "rep")
-    placed = stage(buckets.join(reps.select("node", F.col("rep").alias("id")), "node").join(reps.select(F.col("node").alias("lead"), F.col("rep").alias("first")), "lead").select("key", "id", F.col("first").alias("lead")).distinct(), "jaccard-placed")
-    mine = _few(texts, placed.select(F.col("id").alias("doc_id")).distinct(), "doc_id")
-    sets = stage(mine.mapInArrow(lambda x: _sets(x, k), "id long, n long, sketch binary, tokens array<long>"), "jaccard-tokens")
-    links = stage(_verify(stage(_best_lead(placed.filter("id <> lead")), "jaccard-stars"), sets, percent).distinct(), "jaccard-links")
-    for turn in range(STARS):
-        comps = components(links, "jaccard-contracted").withColumnRenamed("label", "comp")
-        rows = placed.join(comps, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
-        several = rows.groupBy("key").agg(F.min(F.struct("comp", "id")).alias("low"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).filter("low.comp <> hi").select("key", "size", F.col("low.id").alias("lead"), F.col("low.comp").alias("lead_comp"))
-        open_ = stage(rows.join(several, "key"), "jaccard-open")
-        if turn < STARS - 1:
-            more = _verify(stage(_best_lead(open_.filter("comp <> lead_comp").select("id", "lead")), "jaccard-stars"), sets, percent)
-            links = stage(links.union(more).distinct(), "jaccard-links")
-    large = open_.filter(F.col("size") > LARGE_BUCKET).select("key", "id", "comp")
-    second = large.join(placed.select(F.col("key").alias("other"), F.col("id").alias("id2")), F.col("id") == F.col("id2")).filter("other <> key")
-    keyed = open_.filter(F.col("size") <= LARGE_BUCKET).select("key", "id", "comp").union(second.select(F.xxhash64("key", "other").alias("key"), "id", "comp"))
-    members = keyed.join(sets.select("id", "n", "sketch"), "id").select("key", "id", "comp", "n", "sketch")
-    across = members.repartition("key").sortWithinPartitions("key").mapInArrow(lambda x: _across(x, percent), "a long, b long").distinct()
-    links = stage(links.union(_verify(stage(across, "jaccard-across"), sets, percent)).distinct(), "jaccard-links")
-    members_of = described.join(classes, ["key1", "key2", "n"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"))
-    return Join(members_of, links)
+    buckets = own.stage(packed.mapInArrow(_buckets, "bucket long, node long, lead long").distinct(), "jaccard-buckets")
+    reps = classes.select(F.expr("key1 & -2L").alias("node"), F.col("rep").alias("id"))
+    leads = _best_lead(buckets.filter("node <> lead").select(F.col("node").alias("id"), "lead"))
+    tried = leads.join(reps.select(F.col("node").alias("a"), F.col("id").alias("a_id")), "a").join(reps.select(F.col("node").alias("b"), F.col("id").alias("b_id")), "b")
+    tried = own.stage(tried.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).filter("a <> b"), "jaccard-tried")
+    placed = own.stage(buckets.select("bucket", "node").join(reps, "node").select("bucket", "id"), "jaccard-placed")
+    own.drop(buckets)
+    ids = own.stage(placed.select("id").distinct(), "jaccard-ids")
+    sketches = own.stage(_few(described.select(F.col("doc_id").alias("id"), "n", "sketch"), ids, "id"), "jaccard-sketches")
+    sketches = sketches.distinct() if _repeats(sketches) else sketches  # the rows of a repeated id
+
+    def sets(wanted: DataFrame) -> DataFrame:
+        """The token sets of the ids ``wanted``, staged."""
+        few = _few(texts, wanted.select(F.col("id").alias("doc_id")), "doc_id").mapInArrow(lambda x: _sets(x, k), "id long, n long, tokens array<long>")
+        table = own.stage(few, "jaccard-tokens")
+        return table.distinct() if _repeats(table) else table
+
+    of = lambda side: sketches.select(F.col("id").alias(side), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"s{side}"))
+    hinted = own.stage(tried.join(of("b"), "b").join(of("a"), "a").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(lambda x: _allowed(x, percent), "a long, b long").distinct(), "jaccard-hinted")
+    own.drop(tried)
+    tokens = sets(own.stage(hinted.select(F.col("a").alias("id")).union(hinted.select("b")).distinct(), "jaccard-ids"))
+    links = own.stage(_verify(hinted, tokens, percent), "jaccard-links")
+    comps = components(links, "jaccard-contracted")
+    placed = own.stage(placed.join(comps.select("id", F.col("label").alias("comp")), "id", "left").select("bucket", "id", F.coalesce("comp", "id").alias("comp")), "jaccard-placed")
+    drop(comps)
+    every, tokens = False, None
+    while True:
+        several = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("size")).filter("low <> high").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+        open_ = own.stage(placed.join(several, "bucket"), "jaccard-open")
+        search = _members(open_, sketches).repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(lambda x, e=every: _search(x, percent, e), "bucket long, a long, b long, comp_a long, comp_b long, allowed long")
+        found = own.stage(search, "jaccard-found")
+        pairs, live = found.filter("bucket is null"), found.filter("bucket is not null").select("bucket", F.col("a").alias("id"), F.col("comp_a").alias("comp")).distinct()
+        if every:
+            named, more = own.stage(pairs.select("a", "b").distinct(), "jaccard-named"), False
+        else:
+            grouped = pairs.groupBy("b", "comp_a", "comp_b").agg(F.min("a").alias("a"), ((F.min("a") != F.max("a")) | (F.max("allowed") > 1)).alias("more"))
+            named = own.stage(grouped, "jaccard-named")
+            more = not named.filter("more").isEmpty()
+        if tokens is None:  # later rounds try no others
+            tokens = sets(own.stage(live.select("id").distinct(), "jaccard-ids"))
+        new = own.stage(_verify(named.select("a", "b"), tokens, percent), "jaccard-links")
+        links = links.union(new)
+        if not more:
+            break
+        every = new.isEmpty()
+        if not every:
+            merged = own.stage(new.join(named, ["a", "b"]).select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).distinct(), "jaccard-merged")
+            moved = components(merged, "jaccard-contracted")
+            own.tables.append(moved)
+            live = live.join(moved.select(F.col("id").alias("comp"), "label"), "comp", "left").select("bucket", "id", F.coalesce("label", "comp").alias("comp"))
+        placed = own.stage(live, "jaccard-placed")
+    return own.stage(links.distinct(), "jaccard-links")
+
+
+def _repeats(rows: DataFrame) -> bool:
+    """Whether several rows share an id (documents that repeat one)."""
+    return not rows.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").isEmpty()
 
 
 def similar(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -441,13 +654,16 @@ def similar(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_i
     """
     found = join(docs, k, percent, id_col, text_col)
     labels = components(found.edges, "jaccard-components")
+    drop(found.edges)
     return found.docs.join(labels, found.docs["rep"] == labels["id"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "rep").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay when each component keeps its least id.
 
-    Rows without shingles all stay, and so do rows that repeat a kept id.
+    Rows without shingles all stay, and so do rows that repeat a kept id and
+    rows without one; all columns are kept, whatever their names.
     """
-    gone = similar(docs, k, percent, id_col, text_col).filter("doc_id <> component_id").select(F.col("doc_id").alias("gone__")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("gone__"), "left_anti")
+    gone = similar(docs, k, percent, id_col, text_col).filter("doc_id <> component_id").select("doc_id").distinct()
+    name = unused(docs, "gone")
+    return docs.join(gone.withColumnRenamed("doc_id", name), F.col(f"`{id_col}`") == F.col(name), "left_anti")

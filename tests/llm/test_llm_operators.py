@@ -261,11 +261,12 @@ def _components(texts, k, percent):
     return {i: (len(sets[i]), find(i)) for i in sets}
 
 
-@pytest.mark.parametrize("k, percent, large", [(4, 85, None), (5, 80, 3)])
-def test_jaccard_equals_brute_force(spark, monkeypatch, k, percent, large):
+@pytest.mark.parametrize("k, percent, block", [(4, 85, None), (5, 80, 3)])
+def test_jaccard_equals_brute_force(spark, monkeypatch, k, percent, block):
     """A family of near copies about the threshold, a shared passage, short texts."""
-    if large:
-        monkeypatch.setattr(jaccard, "LARGE_BUCKET", large)
+    if block:
+        monkeypatch.setattr(jaccard, "BLOCK", block)
+        monkeypatch.setattr(jaccard, "SHARE", 2)
     rng = random.Random(k)
     vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(4000)]
     words = lambda n: [rng.choice(vocabulary) for _ in range(n)]
@@ -284,6 +285,75 @@ def test_jaccard_equals_brute_force(spark, monkeypatch, k, percent, large):
     assert out == _components(texts, k, percent)
 
 
+def test_jaccard_family_of_thousands(spark, monkeypatch):
+    """3,000 near copies about the threshold, as by brute force on all pairs;
+    what is verified grows with the documents, not with their pairs."""
+    rng = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    base = [rng.choice(vocabulary) for _ in range(60)]
+    texts = []
+    for i in range(3000):
+        own = list(base)
+        for _ in range(rng.choice([0, 1, 1, 1, 2, 2, 3])):
+            own[rng.randrange(60)] = rng.choice(vocabulary)
+        texts.append((i, " ".join(own)))
+    shingles = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (t.split() for _, t in texts)]
+    place = {s: k for k, s in enumerate(sorted(set().union(*shingles)))}
+    dense = np.zeros((len(texts), len(place)), np.float32)
+    for i, found in enumerate(shingles):
+        dense[i, [place[s] for s in found]] = 1
+    both, size = dense @ dense.T, dense.sum(axis=1)
+    linked = 100 * both >= 80 * (size[:, None] + size[None] - both)
+    label, was = np.arange(len(texts)), None
+    while was is None or (label != was).any():
+        was, label = label, np.where(linked, label[None], len(texts)).min(axis=1)
+    verify, tried = jaccard._verify, []
+    monkeypatch.setattr(jaccard, "_verify", lambda pairs, *rest: (tried.append(pairs.count()), verify(pairs, *rest))[1])
+    out = {r.doc_id: r.component_id for r in jaccard.similar(spark.createDataFrame(texts, "doc_id long, text string").repartition(4), 5, 80).collect()}
+    assert out == dict(enumerate(label.tolist()))
+    assert sum(tried) < 12 * len(texts) and linked.sum() > 100 * len(texts)
+
+
+@pytest.mark.parametrize("block", [None, 7])
+def test_search_of_a_bucket(block):
+    """Named pairs and live members of one bucket against all its pairs."""
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 2**63, 300).astype(np.uint64)
+    sets = [np.unique(np.concatenate((base[rng.random(300) > d], rng.integers(0, 2**63, int(300 * d * rng.random())).astype(np.uint64)))) for d in rng.random(60) * 0.25]
+    ids, comp, n = np.arange(60) * 3, rng.integers(0, 8, 60) * 3, np.array([len(x) for x in sets])
+    bits = [np.frombuffer(jaccard.sketch(x), np.uint64) for x in sets]
+    side = np.full(60, 2) if block is None else np.where(np.arange(60) % block == 0, 0, 1)
+    links = set()
+    for i in range(60):
+        for j in range(i + 1, 60):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if comp[i] != comp[j] and (side[i] != side[j] or side[i] == 2) and 100 * both >= 80 * (n[i] + n[j] - both):
+                links.add(tuple(sorted((i * 3, j * 3), key=lambda x: (comp[x // 3], x))))
+    assert links
+    every = list(jaccard._open_pairs(side, ids, comp, n, bits, 80, True))
+    pairs = {(a, b) for x in every for a, b in zip(x.a.tolist(), x.b.tolist(), strict=True)}
+    assert links <= pairs and all(comp[a // 3] < comp[b // 3] for a, b in pairs)
+    (named,) = jaccard._open_pairs(side, ids, comp, n, bits, 80, False)
+    assert {b: a for a, b in zip(named.a.tolist(), named.b.tolist(), strict=True)} == {b: min((a for a, x in pairs if x == b), key=lambda a: (comp[a // 3], a)) for _, b in pairs}
+    assert dict(zip(named.b.tolist(), named.allowed.tolist(), strict=True)) == {b: sum(x == b for _, x in pairs) for _, b in pairs}
+    assert set(named.live.tolist()) == {x for p in pairs for x in p}
+
+
+def test_components(spark):
+    """Paths, stars, loops, repeated edges and null ends against a walk."""
+    edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 140)] + [(200, 200), (7, 3), (7, 3), (None, 5), (300, 301), (301, 302), (302, 300)]
+    out = dict(jaccard.components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert out == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 140)}, 200: 200, 300: 300, 301: 300, 302: 300}
+    assert jaccard.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_part_labels(spark):
+    """Each label is dealt to the partition that it stands for."""
+    labels = jaccard.part_labels(spark, 7)
+    rows = spark.createDataFrame([(x,) for x in labels], "part int").repartition(7, "part").selectExpr("part", "spark_partition_id() as at").collect()
+    assert {r.part: r["at"] for r in rows} == {x: k for k, x in enumerate(labels)}
+
+
 @given(st.data())
 @settings(max_examples=60, deadline=None)
 def test_similar_sets_meet_on_two_signatures(data):
