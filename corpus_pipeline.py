@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from chronolith.llm import bpe, dedup, jaccard, mixing, quality
-from chronolith.llm.common import stage
+from chronolith.llm.common import drop, stage
 from chronolith.llm.queries import tokenizer_path
 
 
@@ -51,8 +51,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each written and read again by the next;
+    what a stage has read goes when its own rows are written."""
+    docs, read = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, step in STAGES[:-1]:
         docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        drop(*read)
+        read = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
