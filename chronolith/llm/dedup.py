@@ -1,21 +1,23 @@
 """Exact deduplication by stateful streaming, in built-in functions only.
 
-Digests flow through a Structured Streaming aggregation whose state is keyed by
-digest and lives on disk (RocksDB) without watermark or expiry. A state entry
-retains the digest, the stable identifier of the row that stays, the locator of
-its content and the number of rows seen. Digests that were hit more than once
-are then checked on the full bytes of their texts; should two different texts
-share a digest, their rows are grouped by the text itself.
+The rows of every run are written to a content store, a folder that only grows.
+Their digests flow through a Structured Streaming aggregation whose state is
+keyed by digest and lives on disk (RocksDB) without watermark or expiry; a later
+run with the same state folder goes on from there. A state entry retains the
+digest, the stable identifier of the row that stays, the locator of its content
+(run and row in the store, and its bytes) and the number of rows seen. Digests
+that were hit more than once are checked on the full bytes of all their retained
+texts; should two different texts share a digest, its rows are grouped by text.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolith.llm.common import shared_dir, stage, text_of
+from chronolith.llm.common import Staging, delete, exists, shared_dir, text_of
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Many small state stores on an executor: no blocks are reserved ahead of
@@ -30,6 +32,10 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.maxWriteBufferNumber": "2",
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
+#: A digest that holds more than one in this many rows is compared before any
+#: shuffle; so there are at most this many of them.
+HEAVY_SHARE = 2000
+SLIM = "row long, doc_id long, digest string, bytes long, run string"
 
 
 def digest_of(text: Column, digest_bits: int = 256) -> Column:
@@ -37,33 +43,31 @@ def digest_of(text: Column, digest_bits: int = 256) -> Column:
     return F.substring(F.sha2(F.encode(text, "UTF-8"), 256), 1, digest_bits // 4)
 
 
-def digests(docs: DataFrame, digest_bits: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, digest and locator of every row; the locator's row number also
-    tells rows apart that repeat an id."""
-    text = text_of(text_col)
-    locator = F.struct(F.monotonically_increasing_id().alias("row"), F.octet_length(text).cast("long").alias("bytes"))
-    return docs.select(F.col(id_col).alias("doc_id"), digest_of(text, digest_bits).alias("digest"), locator.alias("locator"))
+def store(docs: DataFrame, root: str, run: str, digest_bits: int = 256, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
+    """The rows of ``docs`` as run ``run`` of the content store under ``root``:
+    row, doc_id, digest, bytes and doc, a structure of the text or, with
+    ``whole``, of all columns. A run that was stored before is not again."""
+    spark = docs.sparkSession
+    path = f"{root}/content/run={run}"
+    if not exists(spark, f"{path}/_SUCCESS"):
+        text = text_of(F.col(f"`{text_col}`"))
+        kept = [F.col(f"`{c}`") for c in docs.columns] if whole else [text.alias(text_col)]
+        rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), digest_of(text, digest_bits).alias("digest"), F.octet_length(text).cast("long").alias("bytes"), F.struct(*kept).alias("doc"))
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)
 
 
-def stream_state(table: DataFrame, state_dir: str | None = None, files_per_batch: int = 256) -> DataFrame:
-    """Run the Parquet table behind ``table`` through the keyed state.
+def stream_state(spark: SparkSession, root: str, files_per_batch: int = 256) -> DataFrame:
+    """Send what is new in the content store through the keyed state.
 
-    All its files are read in micro-batches until none is left. With a
-    ``state_dir`` of an earlier run, only files that are new go through and the
-    state goes on from where it was. A table in several folders is refused.
-    Returns the state: digest, keep_id, locator, group_size.
+    Returns the state after it: digest, keep_id, locator, group_size. The
+    largest id stays; of rows that repeat it, the one with the greatest locator.
+    A store without rows gives an empty state.
     """
-    spark = table.sparkSession
-    root = state_dir or f"{shared_dir(spark)}/chronolith/dedup-state-{uuid.uuid4().hex}"
-    paths = sorted({x.rsplit("/", 1)[0] for x in table.inputFiles()})
-    if not paths:
-        return spark.createDataFrame([], "digest string, keep_id long, locator struct<row:long,bytes:long>, group_size long")
-    if len(paths) > 1:
-        raise ValueError(f"the table's files lie in {len(paths)} folders; write it to one first")
-    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files_per_batch).parquet(paths[0])
-    best = F.max(F.struct("doc_id", "locator"))
-    state = stream.groupBy("digest").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
     updates = f"{root}/updates"
+    stream = spark.readStream.schema(SLIM).option("maxFilesPerTrigger", files_per_batch).parquet(f"{root}/content")
+    best = F.max(F.struct("doc_id", F.struct("run", "row", "bytes").alias("locator")))
+    state = stream.groupBy("digest").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.select("digest", F.col("best.doc_id").alias("keep_id"), F.col("best.locator").alias("locator"), "group_size").write.mode("overwrite").option("compression", "zstd").parquet(f"{updates}/batch={number}")
@@ -77,60 +81,85 @@ def stream_state(table: DataFrame, state_dir: str | None = None, files_per_batch
     finally:
         for k, v in was.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    changes = spark.read.schema("digest string, keep_id long, locator struct<row:long,bytes:long>, group_size long, batch long").parquet(updates)
+    schema = "digest string, keep_id long, locator struct<run:string,row:long,bytes:long>, group_size long, batch long"
+    changes = spark.read.schema(schema).parquet(updates) if exists(spark, updates) else spark.createDataFrame([], schema)
     latest = changes.groupBy("digest").agg(F.max_by(F.struct("keep_id", "locator", "group_size"), "batch").alias("last"))
     return latest.select("digest", "last.*")
 
 
-def collisions(docs: DataFrame, state: DataFrame, digest_bits: int = 256, text_col: str = "text") -> DataFrame:
-    """Digests whose rows do not all have the same bytes.
-
-    The least and the greatest text of a hit digest are compared; both are
-    combined before the shuffle, so a large group sends one pair a task.
-    """
-    text = text_of(text_col)
-    rows = docs.select(digest_of(text, digest_bits).alias("digest"), text.alias("text__"))
-    hits = state.filter("group_size > 1").select("digest")
-    checked = rows.join(hits, "digest", "left_semi").groupBy("digest").agg(F.min("text__").alias("least"), F.max("text__").alias("most"))
-    return checked.filter("least <> most").select("digest")
-
-
-def deduplicate(docs: DataFrame, digest_bits: int = 256, state_dir: str | None = None, files_per_batch: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: doc_id, keep_id, group_size, kept, digest.
+def collisions(texts: DataFrame, state: DataFrame) -> DataFrame:
+    """Digests of ``state`` whose ``texts`` (digest, text) differ in their bytes.
 
-    Of equal texts the row with the largest id stays; of rows that repeat it,
-    one stays. Null texts count as empty, null ids are least; an empty table
-    gives an empty result; other columns are ignored.
+    The least and the greatest text of each hit digest are compared. Digests of
+    more than one in ``HEAVY_SHARE`` rows are few, so they are broadcast and
+    their texts combined before the shuffle; no other group is large.
     """
-    table = stage(digests(docs, digest_bits, id_col, text_col), "dedup-digests")
-    state = stage(stream_state(table, state_dir, files_per_batch), "dedup-groups")
-    mixed = stage(collisions(docs, state, digest_bits, text_col), "dedup-collisions")
+    hits = state.filter("group_size > 1").select("digest", "group_size")
+    most = state.agg(F.coalesce(F.sum("group_size"), F.lit(0))).first()[0] / HEAVY_SHARE
+    heavy, light = hits.filter(F.col("group_size") > most).select("digest"), hits.filter(F.col("group_size") <= most).select("digest")
+
+    def differ(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("digest").agg(F.min("text").alias("least"), F.max("text").alias("most")).filter("least <> most").select("digest")
+
+    return differ(texts.join(F.broadcast(heavy), "digest", "left_semi")).union(differ(texts.join(light, "digest", "left_semi")))
+
+
+def _found(docs: DataFrame, own: Staging, root: str, digest_bits: int, run: str | None, files_per_batch: int, id_col: str, text_col: str, whole: bool) -> tuple[DataFrame, DataFrame]:
+    """The stored rows of this run, and row, doc_id, keep_id, group_size, kept
+    and digest of each."""
+    spark, run = docs.sparkSession, run or uuid.uuid4().hex
+    content = store(docs, root, run, digest_bits, id_col, text_col, whole)
+    table = content.select("row", "doc_id", "digest").withColumn("run", F.lit(run))
+    state = own.stage(stream_state(spark, root, files_per_batch), "dedup-groups")
+    retained = spark.read.schema(f"digest string, doc_id long, row long, run string, doc struct<`{text_col}`:string>").parquet(f"{root}/content")
+    texts = retained.select("run", "row", "doc_id", "digest", text_of(F.col("doc")[text_col]).alias("text"))
+    mixed = own.stage(collisions(texts.select("digest", "text"), state), "dedup-collisions")
+    joined = table.join(state, "digest")
+    mine = (F.col("locator.run") == F.col("run")) & (F.col("locator.row") == F.col("row"))
+    found = joined.select("row", "doc_id", "keep_id", "group_size", mine.alias("kept"), "digest")
     if not mixed.isEmpty():
-        return _by_text(docs, id_col, text_col, digest_bits)
-    joined = table.join(state.withColumnRenamed("locator", "best__"), "digest")
-    return joined.select("doc_id", "keep_id", "group_size", (F.col("locator.row") == F.col("best__.row")).alias("kept"), "digest")
+        found = found.join(mixed, "digest", "left_anti").unionByName(_by_text(texts.join(mixed, "digest", "left_semi"), run))
+    return content, found
 
 
-def _by_text(docs: DataFrame, id_col: str, text_col: str, digest_bits: int) -> DataFrame:
+def _by_text(texts: DataFrame, run: str) -> DataFrame:
     """The exact way for digests that collide: groups by the whole text."""
-    rows = stage(docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text__"), F.monotonically_increasing_id().alias("row__")), "dedup-texts")
-    groups = rows.groupBy(F.col("text__").alias("of__")).agg(F.max(F.struct("doc_id", "row__")).alias("best__"), F.count(F.lit(1)).alias("group_size"))
-    return rows.join(groups, F.col("text__") == F.col("of__")).select("doc_id", F.col("best__.doc_id").alias("keep_id"), "group_size", (F.col("row__") == F.col("best__.row__")).alias("kept"), digest_of(F.col("text__"), digest_bits).alias("digest"))
+    groups = texts.groupBy("digest", "text").agg(F.max(F.struct("doc_id", "run", "row")).alias("best"), F.count(F.lit(1)).alias("group_size"))
+    rows = texts.filter(F.col("run") == run).join(groups, ["digest", "text"])
+    return rows.select("row", "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", ((F.col("best.run") == run) & (F.col("best.row") == F.col("row"))).alias("kept"), "digest")
+
 
+def _root(spark: SparkSession, state_dir: str | None) -> str:
+    return state_dir.rstrip("/") if state_dir else f"{shared_dir(spark)}/chronolith/dedup-state-{uuid.uuid4().hex}"
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
 
-    Rows are found again by id and digest; of rows that repeat both, one stays.
+def deduplicate(docs: DataFrame, digest_bits: int = 256, state_dir: str | None = None, run: str | None = None, files_per_batch: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each row of ``docs``: doc_id, keep_id, group_size, kept, digest.
+
+    Of equal texts the row with the largest id stays; of rows that repeat it,
+    one stays. With a ``state_dir``, rows of all runs that were given it count:
+    a row is kept only if none of an earlier run has a larger id, and sizes are
+    those after this run. A run that failed may be repeated under its name
+    ``run``. Null texts count as empty, null ids are least; an empty table gives
+    an empty result; other columns are ignored, whatever their names.
     """
-    bits = how.get("digest_bits", 256)
-    found = deduplicate(docs, id_col=id_col, text_col=text_col, **how)
-    best = stage(found.filter(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("rows__"), F.count_if("kept").alias("kept__")), "dedup-kept")
-    keys = best.select(F.col("doc_id").alias("id__"), F.col("digest").alias("digest__"), "rows__", "kept__")
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    mine = docs.withColumn("of__", digest_of(text_of(text_col), bits))
-    joined = mine.join(keys, F.col(f"`{id_col}`").eqNullSafe(F.col("id__")) & (F.col("of__") == F.col("digest__")))
-    if not best.filter("rows__ > kept__").isEmpty():  # rows that repeat id and text
-        whole = Window.partitionBy("id__", "digest__", text_of(text_col)).orderBy(F.lit(0))
-        joined = joined.withColumn("nth__", F.row_number().over(whole)).filter("nth__ = 1")
-    return joined.select(*names)
+    root = _root(docs.sparkSession, state_dir)
+    with Staging() as own:
+        _, found = _found(docs, own, root, digest_bits, run, files_per_batch, id_col, text_col, False)
+        result = own.keep(own.stage(found.select("doc_id", "keep_id", "group_size", "kept", "digest"), "dedup-found"))
+    if not state_dir:
+        delete(docs.sparkSession, root)
+    return result
+
+
+def keep_one(docs: DataFrame, digest_bits: int = 256, state_dir: str | None = None, run: str | None = None, files_per_batch: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that :func:`deduplicate` keeps, with all their
+    columns, whatever their names: whole rows are stored as one structure."""
+    root = _root(docs.sparkSession, state_dir)
+    with Staging() as own:
+        content, found = _found(docs, own, root, digest_bits, run, files_per_batch, id_col, text_col, True)
+        kept = own.stage(found.filter("kept").select("row"), "dedup-kept")
+        result = own.keep(own.stage(content.join(kept, "row", "left_semi").select("doc.*"), "dedup-rows"))
+    if not state_dir:
+        delete(docs.sparkSession, root)
+    return result

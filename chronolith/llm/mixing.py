@@ -3,7 +3,9 @@
 Every row gets an Efraimidis-Spirakis key, ``-ln(u) / w``: ``u`` is a hash of
 seed and id, ``w`` the quality weight of the document. A source's target takes
 complete epochs first; what is left selects rows in the order of their keys up
-to the budget, the nearest whole row at its end.
+to the budget, the nearest whole row at its end. That order is summed by key
+range, and row by row only in the range in which the budget ends, so a source
+is taken up to one place in the order, which every row can compare itself with.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronolith.llm.common import WORD, stage, text_of
+from chronolith.llm.common import WORD, Staging, stage, text_of
 
 #: Sources by code point weigh so, repeating.
 WEIGHTS = (5, 2, 1)
@@ -21,6 +23,8 @@ MOST_EPOCHS = 3
 BUCKETS = 1024
 SYMBOLS = "#*$%&|<>!"
 LEAST_QUALITY = 0.1
+#: Sources whose plan is broadcast at most; beyond it the join is shuffled.
+BROADCAST_SOURCES = 10_000
 
 
 def quality_weight(text: Column) -> Column:
@@ -30,17 +34,28 @@ def quality_weight(text: Column) -> Column:
     return F.greatest(F.lit(LEAST_QUALITY), 1.0 - 2.0 * share)
 
 
-def measure(docs: DataFrame, seed: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Add ``size__`` (words) and ``key__`` (the sampling key) to every row."""
-    text = text_of(text_col)
-    digits = F.substring(F.md5(F.encode(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))), "UTF-8")), 1, 13)
+def measure(docs: DataFrame, seed: int = 7, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
+    """What the mix needs of every row: row (apart from rows that repeat it),
+    doc_id, source, size (words), key (the sampling key), bucket (its range)
+    and, with ``whole``, doc, a structure of all columns of ``docs``."""
+    name = lambda c: F.col(f"`{c}`")
+    text = text_of(name(text_col))
+    digits = F.substring(F.md5(F.encode(F.concat(F.lit(f"{seed}:"), F.coalesce(name(id_col).cast("string"), F.lit("null"))), "UTF-8")), 1, 13)
     u = (F.conv(digits, 16, 10).cast("long") + 0.5) / float(2**52)
-    return docs.withColumns({"size__": F.regexp_count(text, F.lit(WORD)).cast("long"), "key__": -F.ln(u) / quality_weight(text)})
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"), name(id_col).alias("doc_id"), name(source_col).alias("source"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
+        (-F.ln(u) / quality_weight(text)).alias("key"), *([F.struct(*map(name, docs.columns)).alias("doc")] if whole else []),
+    )
+    return rows.withColumn("bucket", F.least(F.floor((1 - F.exp(-F.col("key"))) * BUCKETS), F.lit(BUCKETS - 1)).cast("int"))
 
 
-def _keyed(rows: DataFrame, source_col: str) -> DataFrame:
-    bucket = F.least(F.floor((1 - F.exp(-F.col("key__"))) * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
-    return rows.withColumns({"source__": F.coalesce(F.col(source_col), F.lit("")), "null__": F.col(source_col).isNull(), "bucket__": bucket})
+def _named(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"source__": F.coalesce(F.col("source").cast("string"), F.lit("")), "null__": F.col("source").isNull()})
+
+
+def _order() -> Column:
+    """A row's place in its source: key, id, size, and what tells rows apart."""
+    return F.struct("key", "doc_id", "size", "row")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
@@ -66,32 +81,51 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     )
 
 
-def mix(measured: DataFrame, source_col: str = "source", id_col: str = "doc_id", weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
-    """Rows of :func:`measure` with source_size, target, copies and taken.
+def plans(measured: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
+    """A row for each source of a staged :func:`measure`: source__, null__,
+    source_size, target, epochs, and last_bucket and last, the range in which
+    the budget ends and the place of the last row there that is taken."""
+    rows = _named(measured)
+    source = ["source__", "null__"]
+    sums = rows.groupBy(*source, "bucket").agg(F.sum("size").alias("bucket_size"))
+    with Staging() as own:
+        sums = own.stage(sums, "mix-sums")
+        goals = targets(sums.groupBy(*source).agg(F.sum("bucket_size").alias("source_size")), weights, most).drop("weight")
+        epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("int")
+        goals = goals.withColumn("epochs", epochs).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
+        before = Window.partitionBy(*source).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        ends = sums.withColumn("offset", F.coalesce(F.sum("bucket_size").over(before), F.lit(0))).join(goals, source).filter(F.col("offset") + F.col("bucket_size") > F.col("rest"))
+        ends = own.stage(ends.groupBy(*source, "source_size", "target", "epochs", "rest").agg(F.min(F.struct("bucket", "offset")).alias("end")).select(*source, "source_size", "target", "epochs", "rest", F.col("end.bucket").alias("last_bucket"), F.col("end.offset").alias("offset")), "mix-ends")
+        # one range of a source holds about one in BUCKETS of its rows
+        inside = rows.join(ends.select(*source, F.col("last_bucket").alias("bucket"), "offset", "rest"), [*source, "bucket"])
+        within = Window.partitionBy(*source).orderBy("key", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, 0)
+        after = F.col("offset") + F.sum("size").over(within)
+        last = inside.select(*source, "rest", "size", _order().alias("place"), after.alias("after")).filter((F.col("rest") > 0) & (2 * F.col("rest") >= 2 * F.col("after") - F.col("size"))).groupBy(*source).agg(F.max("place").alias("last"))
+        none = goals.join(ends.select(*source), source, "left_anti").withColumn("last_bucket", F.lit(-1))  # sources without words
+        both = ends.drop("offset").unionByName(none.select(*source, "source_size", "target", "epochs", "rest", "last_bucket"))
+        return own.keep(own.stage(both.join(last, source, "left"), "mix-plan"))
+
+
+def mix(measured: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
+    """Rows of a staged :func:`measure` with source_size, target, copies, taken.
 
     ``copies`` is how often the mix takes the row, ``taken`` its words times
-    that. Sums and sorting go by (source, key range), so a source that holds
-    most rows is spread over tasks. Null texts have size 0 and are taken with
-    the epochs; a null source is the last one; ties of the key go by id; an
-    empty table gives an empty result; other columns are kept.
+    that. Null texts have size 0 and are taken with the epochs; a null source
+    is the last one; ties of the key go by id, size and row, so that of rows
+    which repeat each other as many are taken as the budget holds; an empty
+    table gives an empty result.
     """
-    rows = _keyed(measured, source_col)
-    keys = ["source__", "null__", "bucket__"]
-    sums = stage(rows.groupBy(*keys).agg(F.sum("size__").alias("bucket_size__")), "mix-sums")
-    goals = targets(sums.groupBy("source__", "null__").agg(F.sum("bucket_size__").alias("source_size")), weights, most)
-    before = Window.partitionBy("source__", "null__").orderBy("bucket__").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.withColumn("offset__", F.coalesce(F.sum("bucket_size__").over(before), F.lit(0))).join(goals, ["source__", "null__"])
-    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    plan = stage(offsets.withColumn("epochs__", epochs.cast("int")).withColumn("rest__", F.col("target") - F.col("epochs__") * F.col("source_size")).drop("bucket_size__", "weight"), "mix-plan")
-    within = Window.partitionBy(*keys).orderBy("key__", id_col, "size__").rowsBetween(Window.unboundedPreceding, 0)
-    placed = rows.join(plan, keys).withColumn("after__", F.col("offset__") + F.sum("size__").over(within))
-    chosen = 2 * F.col("rest__") >= 2 * F.col("after__") - F.col("size__")
-    copies = F.col("epochs__") + F.when(chosen & (F.col("rest__") > 0), 1).otherwise(0)
-    return placed.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size__")).drop("source__", "null__", "bucket__", "offset__", "after__", "epochs__", "rest__", "key__")
+    plan = plans(measured, weights, most)
+    few = plan.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+    rows = _named(measured).join(F.broadcast(plan) if few else plan, ["source__", "null__"])
+    chosen = (F.col("rest") > 0) & ((F.col("bucket") < F.col("last_bucket")) | ((F.col("bucket") == F.col("last_bucket")) & F.coalesce(_order() <= F.col("last"), F.lit(False))))
+    copies = F.col("epochs") + F.when(chosen, 1).otherwise(0)
+    return rows.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size")).drop("source__", "null__", "bucket", "epochs", "rest", "last_bucket", "last", "key")
 
 
 def draw(docs: DataFrame, seed: int = 7, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text", **shares) -> DataFrame:
-    """Rows of ``docs`` as often as the mix takes them, with their columns."""
-    mixed = mix(measure(docs, seed, id_col, text_col), source_col, id_col, **shares)
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    return mixed.filter("copies > 0").select(*names, F.explode(F.sequence(F.lit(1), "copies")).alias("copy__")).select(*names)
+    """Rows of ``docs`` as often as the mix takes them, with all their columns,
+    whatever their names: whole rows are staged as one structure beside what
+    the mix needs, and are neither shuffled nor sorted."""
+    measured = stage(measure(docs, seed, source_col, id_col, text_col, whole=True), "mix-rows")
+    return mix(measured, **shares).filter("copies > 0").select("doc", F.explode(F.sequence(F.lit(1), "copies"))).select("doc.*")

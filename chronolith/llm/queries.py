@@ -59,9 +59,8 @@ def op6_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to their sources' targets; texts are measured once."""
-    docs = table(spark, sf_dir, "documents")
-    measured = stage(mixing.measure(docs).select("doc_id", "source", "size__", "key__"), "mix-measured")
-    return mixing.mix(measured).select("doc_id", F.col("size__").alias("size"), "source_size", "target", "taken")
+    measured = stage(mixing.measure(table(spark, sf_dir, "documents")), "mix-measured")
+    return mixing.mix(measured).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
