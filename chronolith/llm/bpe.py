@@ -8,9 +8,10 @@ again together with a word on either side, and wider until the words at both
 ends come out with exactly the tokens they have by themselves.
 
 The tokenizer must drop white space and never merge across it, as tokenizers
-with word ends do; :func:`check_tokenizer` refuses others. Reuse is per worker,
-within bounds on memory, as moving all texts to meet their copies costs more
-than encoding them.
+with word ends do; :func:`check_tokenizer` refuses others. The words of a chunk
+are looked up in a memo before they are encoded. Reuse is per worker, within
+bounds on memory, as moving all texts to meet their copies costs more than
+encoding them.
 """
 
 from __future__ import annotations
@@ -20,7 +21,9 @@ import os
 import re
 import sys
 from array import array
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +44,7 @@ GROUP_BYTES = 2 << 20
 
 _SPACE = b" \t\n\v\f\r"
 _FIRST_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+_WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def _gear() -> np.ndarray:
@@ -176,28 +180,66 @@ class ChunkEncoder:
                 plan.append(len(joins))
                 joins.append((before, across, b""))
             plans.append(plan)
-        repaired = self._repair(joins)
+        repaired, wrong = self._repair(joins)
         if self.chunk_bytes > MOST_CHUNK_BYTES:
             self.chunks.clear()
             self.chunk_bytes = 0
-        return [b"".join([repaired[x] if isinstance(x, int) else x for x in plan]) for plan in plans]
+        out = []
+        for text, chunks, plan in zip(texts, cuts, plans, strict=True):
+            if wrong and any(isinstance(x, int) and x in wrong for x in plan):
+                out.append(self._widen(text.encode(), list(accumulate(map(len, chunks)))[:-1]))
+            else:
+                out.append(b"".join([repaired[x] if isinstance(x, int) else x for x in plan]))
+        return out
 
-    def _repair(self, joins: list[tuple[bytes, bytes, bytes]]) -> list[bytes]:
-        """Tokens of the text across borders: encoded with the words next to it,
-        and taken where those words keep their own tokens at both ends."""
+    def _repair(self, joins: list[tuple[bytes, bytes, bytes]]) -> tuple[list[bytes], set[int]]:
+        """Tokens of the text across borders, encoded with the words next to it,
+        and the joins where those words do not keep their own tokens."""
         self._learn({w for left, _, right in joins for w in (left, right) if w})
         found = self._encode([b" ".join([x for x in join if x]).decode() for join in joins])
-        out = []
-        for (left, middle, right), ids in zip(joins, found, strict=True):
+        out, wrong = [], set()
+        for k, ((left, _, right), ids) in enumerate(zip(joins, found, strict=True)):
             packed = _packed(ids)
             a = self.words[left] if left else b""
             b = self.words[right] if right else b""
-            if packed.startswith(a) and packed.endswith(b) and len(packed) >= len(a) + len(b):
-                out.append(packed[len(a) : len(packed) - len(b)])
-            else:  # can't be with a tokenizer that check_tokenizer accepts
+            if not _agree(packed, a, b):
+                wrong.add(k)
+            out.append(packed[len(a) : len(packed) - len(b)])
+        return out, wrong
+
+    def _widen(self, data: bytes, borders: list[int]) -> bytes:
+        """Tokens of a text with a join that did not agree. Each border is encoded
+        again with 2, 4, 8, ... words on either side, until the outermost words
+        come out with their own tokens; at last the text is encoded as a whole."""
+        spans = [m.span() for m in _WORDS.finditer(data)]
+        self._learn({data[a:b] for a, b in spans})
+        own = [self.words[data[a:b]] for a, b in spans]
+        starts = [a for a, _ in spans]
+        done: list[tuple[int, int, bytes]] = []  # words from, to, and the tokens between
+        for at in borders:
+            low, high = max(0, bisect_right(starts, at) - 1), min(len(spans), bisect_right(starts, at) + 1)
+            reach = 2
+            while True:
+                a, b = max(0, low - reach), min(len(spans), high + reach)
+                while done and done[-1][1] >= a:  # one window with the border before
+                    low, a = min(low, done[-1][0]), min(a, max(0, done[-1][0] - 1))
+                    done.pop()
                 self.widened += 1
-                out.append(_packed(self._encode([middle.decode()])[0]))
-        return out
+                packed = _packed(self._encode([data[spans[a][0] : spans[b - 1][1]].decode()])[0])
+                first, last = own[a] if a else b"", own[b - 1] if b < len(spans) else b""
+                if _agree(packed, first, last):
+                    done.append((a + (a > 0), b - (b < len(spans)), packed[len(first) : len(packed) - len(last)]))
+                    break
+                reach *= 2
+        out, at = [], 0
+        for a, b, packed in done:
+            out += [*own[at:a], packed]
+            at = b
+        return b"".join(out + own[at:])
+
+
+def _agree(packed: bytes, first: bytes, last: bytes) -> bool:
+    return packed.startswith(first) and packed.endswith(last) and len(packed) >= len(first) + len(last)
 
 
 def read_tokenizer(path: str) -> str:
@@ -262,13 +304,18 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
 
 
 def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
-    """Add ``decoded``, the text of ``ids``, special tokens included."""
+    """Add ``decoded``, the text of ``ids``, special tokens included.
+
+    No ids are the empty text, and so are null ids; rows that repeat are decoded
+    each; an empty table gives an empty result; ids that the vocabulary has not
+    are left out by the library.
+    """
     tokenizer_json = read_tokenizer(tokenizer_path)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(_encoder(tokenizer_json).tokenizer)
         for batch in batches:
-            texts = [decoder.decode(ids.as_py()) for ids in batch.column(batch.schema.get_field_index("ids"))]
+            texts = [decoder.decode(ids.as_py() or b"") for ids in batch.column(batch.schema.get_field_index("ids"))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, f"{', '.join(f'{n} {t}' for n, t in encoded.dtypes)}, decoded string")

@@ -102,6 +102,21 @@ class Staging:
             drop(table)
 
 
+#: A key is heavy that holds more than one in this many rows; so there are at
+#: most this many heavy keys.
+HEAVY_SHARE = 2000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """``rows`` with the one row that ``groups`` has for their key; ``size`` is
+    the rows of that key. Heavy keys are joined by broadcast, before any shuffle,
+    so the rows of no large group meet in one task."""
+    most = groups.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] / HEAVY_SHARE
+    heavy, light = groups.filter(F.col(size) > most), groups.filter(F.col(size) <= most)
+    rest = rows.join(F.broadcast(heavy.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(heavy), key).unionByName(rest.join(light, key))
+
+
 def worker_cache(name: str, make):
     """An object kept for the life of a Python worker, not of a task."""
     kept = sys.__dict__.setdefault("_chronolith_cache", {})

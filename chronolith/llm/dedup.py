@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolith.llm.common import Staging, delete, exists, shared_dir, text_of
+from chronolith.llm.common import HEAVY_SHARE, Staging, delete, exists, join_groups, shared_dir, text_of
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Many small state stores on an executor: no blocks are reserved ahead of
@@ -32,9 +32,6 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.maxWriteBufferNumber": "2",
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
-#: A digest that holds more than one in this many rows is compared before any
-#: shuffle; so there are at most this many of them.
-HEAVY_SHARE = 2000
 SLIM = "row long, doc_id long, digest string, bytes long, run string"
 
 
@@ -114,7 +111,7 @@ def _found(docs: DataFrame, own: Staging, root: str, digest_bits: int, run: str
     retained = spark.read.schema(f"digest string, doc_id long, row long, run string, doc struct<`{text_col}`:string>").parquet(f"{root}/content")
     texts = retained.select("run", "row", "doc_id", "digest", text_of(F.col("doc")[text_col]).alias("text"))
     mixed = own.stage(collisions(texts.select("digest", "text"), state), "dedup-collisions")
-    joined = table.join(state, "digest")
+    joined = join_groups(table, state, "digest", "group_size")
     mine = (F.col("locator.run") == F.col("run")) & (F.col("locator.row") == F.col("row"))
     found = joined.select("row", "doc_id", "keep_id", "group_size", mine.alias("kept"), "digest")
     if not mixed.isEmpty():

@@ -3,9 +3,10 @@
 Candidates are found in every whole text: assignments, access keys and hex runs
 (the base kinds) and mixed-case tokens of high variety. Each candidate's value
 is hashed and counted over the corpus by distinct owners and repositories. A
-value that several owners hold is a widely copied example; one that keeps to
-few owners and does not look like a placeholder is live-looking, and its exact
-place is added as a ``live`` span. Base spans stay whatever the verdict.
+value that several owners or many repositories hold is a widely copied example;
+one that keeps to few of both and does not look like a placeholder is
+live-looking, and its exact place is added as a ``live`` span. Base spans stay
+whatever the verdict.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronolith.llm.common import stage, text_of
+from chronolith.llm.common import Staging, join_groups, text_of
 
 
 class Kind(NamedTuple):
@@ -37,6 +38,8 @@ LIVE = "live"
 PLACEHOLDERS = ("example", "changeme", "placeholder", "dummy", "sample", "xxxx", "your", "0000000", "1234567", "abcdefg")
 #: Distinct owners from which on a value counts as a widely copied example.
 EXAMPLE_OWNERS = 3
+#: Distinct repositories from which on it does so, whoever owns them.
+EXAMPLE_REPOS = 6
 #: Distinct characters that a live-looking value has at least.
 LEAST_VARIETY = 8
 
@@ -96,7 +99,9 @@ def ownership(found: DataFrame) -> DataFrame:
     """Each candidate value's hash with its distinct owners and repositories.
 
     Counted level by level, so every level is pre-aggregated before a shuffle
-    and a value that a third of all rows hold is no large group.
+    and a value that a third of all rows hold is no large group. Null owners and
+    repositories count as empty ones; candidates that repeat count as places; no
+    candidates give an empty result.
     """
     values = found.filter((F.size("base") > 0) | (F.size("mixed") > 0)).select("owner", "repo", F.explode(F.concat("base", "mixed")).alias("s"))
     hashed = values.select(F.sha2(F.encode(F.col("s.value"), "UTF-8"), 256).alias("value_sha256"), "owner", "repo", _live_looking(F.col("s.value")).alias("looks_live"))
@@ -105,24 +110,26 @@ def ownership(found: DataFrame) -> DataFrame:
     return by_owner.groupBy("value_sha256").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("repos").alias("n_repos"), F.sum("n").alias("n_places"), F.max("looks_live").alias("looks_live"))
 
 
-def scan(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS, **columns) -> DataFrame:
+def scan(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS, **columns) -> DataFrame:
     """Secrets of every document, with spans and the verdict on their values.
 
     Returns doc_id, base (spans of the base kinds), live (spans of values that
-    keep to fewer than ``example_owners`` owners and look live), n_example
-    (candidates whose value is a widely copied example). Null and empty texts
-    have no spans; a row that repeats an id has a result of its own; an empty
-    table gives an empty result; other columns are ignored.
+    keep to fewer than ``example_owners`` owners and ``example_repos``
+    repositories and look live), n_example (candidates whose value is a widely
+    copied example). Null and empty texts have no spans; a row that repeats an
+    id has a result of its own; an empty table gives an empty result; other
+    columns are ignored.
     """
-    found = stage(candidates(docs, **columns), "secret-candidates")
-    counts = stage(ownership(found), "secret-ownership")
-    places = found.filter((F.size("base") > 0) | (F.size("mixed") > 0)).select("row__", F.explode(F.concat("base", "mixed")).alias("s"))
-    places = places.withColumn("value_sha256", F.sha2(F.encode(F.col("s.value"), "UTF-8"), 256))
-    live = F.struct((F.col("s.end") - F.length("s.value")).alias("start"), F.lit(len(BASE)).alias("rank"), F.col("s.end").alias("end"), F.lit(LIVE).alias("kind"), F.col("s.value").alias("value"))
-    is_example = F.col("n_owners") >= example_owners
-    judged = places.join(counts, "value_sha256").groupBy(F.col("row__").alias("of__")).agg(
-        F.array_distinct(F.collect_list(F.when(~is_example & F.col("looks_live"), live))).alias("live"), F.count_if(is_example).alias("n_example")
-    )
+    with Staging() as own:
+        found = own.keep(own.stage(candidates(docs, **columns), "secret-candidates"))
+        counts = own.stage(ownership(found), "secret-ownership")
+        places = found.filter((F.size("base") > 0) | (F.size("mixed") > 0)).select("row__", F.explode(F.concat("base", "mixed")).alias("s"))
+        places = places.withColumn("value_sha256", F.sha2(F.encode(F.col("s.value"), "UTF-8"), 256))
+        live = F.struct((F.col("s.end") - F.length("s.value")).alias("start"), F.lit(len(BASE)).alias("rank"), F.col("s.end").alias("end"), F.lit(LIVE).alias("kind"), F.col("s.value").alias("value"))
+        is_example = (F.col("n_owners") >= example_owners) | (F.col("n_repos") >= example_repos)
+        judged = own.keep(own.stage(join_groups(places, counts, "value_sha256", "n_places").groupBy(F.col("row__").alias("of__")).agg(
+            F.array_distinct(F.collect_list(F.when(~is_example & F.col("looks_live"), live))).alias("live"), F.count_if(is_example).alias("n_example")
+        ), "secret-judged"))
     return found.join(judged, F.col("row__") == F.col("of__"), "left").select(
         "doc_id", "base", F.coalesce("live", F.array().cast(_SPAN)).alias("live"), F.coalesce("n_example", F.lit(0)).alias("n_example")
     )

@@ -13,7 +13,7 @@ def _secret_spans(kind: str, pattern: str, group: int, least: int, rank: int) ->
 
 
 def _secrets() -> str:
-    from chronolith.llm.secrets import EXAMPLE_OWNERS, LEAST_VARIETY, PLACEHOLDERS
+    from chronolith.llm.secrets import EXAMPLE_OWNERS, EXAMPLE_REPOS, LEAST_VARIETY, PLACEHOLDERS
 
     word = "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
     assign = f"""'{word}["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)'"""
@@ -26,10 +26,11 @@ def _secrets() -> str:
       select doc_id, source, lang, rank, kind, cast(s['end'] - length(s['hit']) as bigint) as b, cast(s['end'] as bigint) as e, s['value'] as value from raw
       where case kind when 'assign' then length(s['value']) >= 12 when 'access' then length(s['value']) >= 18 when 'hex' then length(s['value']) >= 16
             else length(s['value']) >= 20 and regexp_matches(s['value'], '[a-z]') and regexp_matches(s['value'], '[A-Z]') and regexp_matches(s['value'], '[0-9]') end),
-    owned as (select value, count(distinct source) as n_owners from cand group by value),
+    owned as (
+      select value, count(distinct coalesce(source, '')) as n_owners, count(distinct coalesce(source, '') || chr(1) || coalesce(lang, '')) as n_repos from cand group by value),
     judged as (
-      select c.*, n_owners >= {EXAMPLE_OWNERS} as example,
-             n_owners < {EXAMPLE_OWNERS} and not ({placeholder}) and len(list_distinct(string_split(value, ''))) >= {LEAST_VARIETY} as live
+      select c.*, n_owners >= {EXAMPLE_OWNERS} or n_repos >= {EXAMPLE_REPOS} as example,
+             n_owners < {EXAMPLE_OWNERS} and n_repos < {EXAMPLE_REPOS} and not ({placeholder}) and len(list_distinct(string_split(value, ''))) >= {LEAST_VARIETY} as live
       from cand c join owned using (value)),
     spans as (
       select doc_id, rank, kind, b, e from judged where kind <> 'mixed' union all

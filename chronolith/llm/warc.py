@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronolith.llm.common import stage, text_of
+from chronolith.llm.common import join_groups, stage, text_of
 
 # fixed values: header fields of the two versions of the format
 ARC_FIELDS = {
@@ -33,6 +33,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-dig
 KEY_HEADER = "X-Row-Key"
 #: Payload bytes gathered into one archive before it is written.
 ARCHIVE_BYTES = 8 << 20
+#: Groups of equal pages that are broadcast at most; beyond it pages are shuffled.
+BROADCAST_ROWS = 200_000
 
 
 class ArcRecord(NamedTuple):
@@ -87,8 +89,10 @@ def write_arc(version: int, name: str, date: str, entries: Iterable[tuple[str, b
 def read_arc(data: bytes) -> Iterator[ArcRecord]:
     """Records of an ARC file, the version block first.
 
-    Raises ValueError where a header line has not the fields its version
-    declares, or a record is shorter than its declared length.
+    The version block's second line declares the fields of header lines and
+    their order; without one they are those of its version. Raises ValueError
+    where a header line has other fields, a record is shorter than its declared
+    length, or its offset or checksum (MD5), where given, are others.
     """
     at, fields = 0, None
     while at < len(data):
@@ -107,7 +111,10 @@ def read_arc(data: bytes) -> Iterator[ArcRecord]:
             version = int(about.split(b" ", 1)[0])
             if version not in ARC_FIELDS:
                 raise ValueError(f"ARC version {version} is not known")
-            fields = ARC_FIELDS[version]
+            declared = about.split(b"\n", 2)[1].decode("utf-8").split() if b"\n" in about else []
+            fields = tuple(declared) or ARC_FIELDS[version]
+            if set(fields) != set(ARC_FIELDS[version]) or fields[-1] != "Archive-length":
+                raise ValueError(f"the version block declares the fields {' '.join(fields)}")
         if len(parts) != len(fields):
             raise ValueError(f"a header line of {len(parts)} fields at byte {at}; its version has {len(fields)}")
         named = dict(zip(fields, parts, strict=True))
@@ -115,6 +122,10 @@ def read_arc(data: bytes) -> Iterator[ArcRecord]:
         content = data[end + 1 : end + 1 + length]
         if len(content) != length:
             raise ValueError(f"the record at byte {at} ends before its declared length")
+        if named.get("Offset", "-") not in ("-", str(at)):
+            raise ValueError(f"the record at byte {at} gives {named['Offset']} as its offset")
+        if named.get("Checksum", "-") not in ("-", hashlib.md5(content).hexdigest()):
+            raise ValueError(f"the record at byte {at} misses its checksum")
         yield ArcRecord(named, at, content)
         at = end + 1 + length
 
@@ -238,7 +249,7 @@ def _pages(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for data in batch.column("data"):
             rows = []
-            for r in read_warc(data.as_py()):
+            for r in read_warc(data.as_py() or b""):
                 kind = r.headers["WARC-Type"]
                 if kind not in ("response", "revisit"):
                     continue
@@ -255,22 +266,33 @@ def _pages(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def to_archives(pages: DataFrame, date: str = "20240101000000", least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Pages as WARC archives converted from ARC: archive, records, data.
 
-    Of pages with equal payloads of at least ``least_bytes`` bytes the smallest
+    Payloads are equal when their SHA-256 digests are. Of pages with equal payloads of at least ``least_bytes`` bytes the smallest
     id is a response, the others revisit it. Null html counts as empty; null
     urls get a urn; null ids never become the response of others where any id
     is known; rows that repeat an id with its payload are all responses. An
     empty table gives no archives; other columns are ignored.
     """
     html = text_of(html_col)
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), html.alias("html"), F.sha1(F.encode(html, "UTF-8")).alias("digest__"), F.octet_length(html).alias("bytes__"))
-    first = rows.filter(F.col("bytes__") >= least_bytes).groupBy(F.col("digest__").alias("of__"), F.col("bytes__").alias("size__")).agg(F.min("page_id").alias("first__"))
-    joined = rows.join(first, (F.col("digest__") == F.col("of__")) & (F.col("bytes__") == F.col("size__")), "left")
-    ready = joined.select("page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("first__")), F.col("first__")).alias("refers_to"))
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), html.alias("html"), F.sha2(F.encode(html, "UTF-8"), 256).alias("digest"), F.octet_length(html).alias("bytes"))
+    groups = rows.filter(F.col("bytes") >= least_bytes).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+    first = stage(groups.filter("copies > 1"), "warc-first")
+    few = first.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    if few:  # pages are not shuffled
+        joined = rows.join(F.broadcast(first), "digest", "left")
+    else:
+        keyed = join_groups(rows, first, "digest", "copies")
+        joined = keyed.unionByName(rows.join(first, "digest", "left_anti").withColumns({"first": F.lit(None).cast("long"), "copies": F.lit(1).cast("long")}))
+    ready = joined.select("page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
     return ready.mapInArrow(lambda batches: _archives(batches, date), "archive string, records int, data binary")
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
-    """A row for each response or revisit record of WARC archives."""
+    """A row for each response or revisit record of WARC archives.
+
+    Records of other types are passed over; archives that repeat give their rows
+    again; null data has none; no archives give an empty result. An archive that
+    is cut off or whose blocks or payloads miss their digests raises ValueError.
+    """
     return archives.select("data").mapInArrow(_pages, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, warc_date string, url string")
 
 

@@ -12,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from chronolith.llm import bpe, chat, dedup, jaccard, mixing, quality, secrets, sharding, toxicity, warc
+from chronolith.llm.common import join_groups
 from chronolith.llm.queries import tokenizer_path
 
 
@@ -485,3 +486,95 @@ def test_toxicity_by_the_definition(spark):
     few, _ = toxicity.training_rows(docs, labels, most=1)
     assert len(few) == 2
     assert toxicity.training_rows(docs, labels, most_bytes=0) == ([], [])
+
+
+class _Runs:
+    """A tokenizer whose tokens depend on words further away: of a run of ``x``
+    two and two are one token."""
+
+    def __init__(self):
+        self.calls = []
+
+    def encode_batch_fast(self, texts, add_special_tokens):
+        self.calls += texts
+        return [type("E", (), {"ids": self.ids(t)}) for t in texts]
+
+    def ids(self, text):
+        out = []
+        for w in text.split():
+            if w == "x" and out and out[-1] == 1:
+                out[-1] = 2
+            else:
+                out.append(1 if w == "x" else 10 + zlib.crc32(w.encode()) % 1000)
+        return out
+
+
+@pytest.mark.parametrize("run", [2, 5, 9, 40])
+def test_joins_widen_until_they_agree(monkeypatch, run):
+    text = "aa bb cc dd ee" + " x" * run + " ff gg hh" + " kk" * 30 + " x x x" + " ll mm nn oo"
+    encoder = object.__new__(bpe.ChunkEncoder)
+    encoder.tokenizer, encoder.words, encoder.chunks = _Runs(), {}, {}
+    encoder.chunk_bytes = encoder.encoded_chunks = encoder.reused_chunks = encoder.widened = 0
+    at = [text.index("x") + run, text.rindex("x") - 1]
+    monkeypatch.setattr(bpe, "cut", lambda data: [data[a:b] for a, b in zip([0, *at], [*at, len(data)], strict=True)])
+    (got,) = encoder.encode([text])
+    assert np.frombuffer(got, "<u4").tolist() == _Runs().ids(text)
+    assert encoder.widened >= 2
+
+
+def test_chunks_are_encoded_once_in_a_worker():
+    encoder = bpe.ChunkEncoder(bpe.read_tokenizer(tokenizer_path()))
+    rng = random.Random(9)
+    passage = " ".join(f"word{rng.randrange(5000)}" for _ in range(3000))
+    encoder.encode([passage])
+    once = encoder.encoded_chunks
+    encoder.encode([f"{k} before. {passage} after {k}" for k in range(20)])
+    assert encoder.encoded_chunks < once + 20 * 4 and encoder.widened == 0
+
+
+def test_secrets_by_owner_and_repository(spark):
+    """A value in many repositories of one owner is an example, and so is one of
+    three owners; one that keeps to few of both is live."""
+    value = {k: hashlib.sha256(k.encode()).hexdigest()[:32] for k in ("wide", "owners", "own")}
+    rows = [(k, f"key {value['wide']} end", "o", f"r{k}") for k in range(6)] + [(10 + k, f"key {value['owners']} end", f"o{k}", "r") for k in range(3)]
+    rows += [(20 + k, f"key {value['own']} end", "p", f"r{k}") for k in range(5)] + [(30, f"key {value['own']} end", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, owner string, repo string")
+    out = {r.doc_id: r for r in secrets.digest(secrets.scan(docs, owner_cols=("owner",), repo_cols=("owner", "repo"))).collect()}
+    assert {k for k, r in out.items() if r.n_live} == set()  # six repositories of two owners
+    assert {k for k, r in out.items() if r.n_example} == set(out)
+    few = {r.doc_id: r for r in secrets.digest(secrets.scan(docs.filter("doc_id <> 30"), owner_cols=("owner",), repo_cols=("owner", "repo"))).collect()}
+    assert {k for k, r in few.items() if r.n_live} == set(range(20, 25)) and all(r.n_hex == 1 for r in few.values())
+    assert secrets.ownership(secrets.candidates(docs.limit(0))).collect() == []
+
+
+def test_groups_are_joined_whole(spark):
+    rows = spark.range(9000).selectExpr("id", "case when id % 3 = 0 then 'hot' when id % 3 = 1 then concat('k', id) else concat('g', id % 100) end as k")
+    groups = rows.groupBy("k").count()
+    out = join_groups(rows, groups, "k", "count")
+    assert sorted(map(tuple, out.select("id", "k", "count").collect())) == sorted(map(tuple, rows.join(groups, "k").select("id", "k", "count").collect()))
+
+
+def test_arc_fields_are_checked():
+    arc = warc.write_arc(2, "a.arc", "20240101000000", [("http://a/", warc.http_message(b"<p>x</p>", 1))])
+    assert len(list(warc.read_arc(arc))) == 2
+    first = warc.write_arc(1, "a.arc", "20240101000000", [("http://a/", warc.http_message(b"<p>x</p>", 1))])
+    # another declared order holds
+    assert [r.fields["IP-address"] for r in warc.read_arc(first.replace(b"URL IP-address", b"IP-address URL"))][1] == "http://a/"
+    for a, b in ((b"<p>x</p>", b"<p>y</p>"), (b" 200 ", b" 201 extra "), (b"Result-code", b"Other-code0")):
+        with pytest.raises(ValueError):
+            list(warc.read_arc(arc.replace(a, b)))
+    record = list(warc.read_arc(arc))[1]
+    with pytest.raises(ValueError, match="offset"):
+        list(warc.read_arc(arc.replace(f" {record.offset} a.arc".encode(), f" {record.offset + 1} a.arc".encode())))
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_pages_with_equal_payloads(spark, monkeypatch, few):
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 1000 if few else 0)
+    rows = [(k, "http://a/", ["", "same", f"own {k}"][k % 3] if k != 6 else None) for k in range(30)]
+    out = {r.page_id: r for r in warc.archive_round_trip(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    first = {}
+    for k, _, html in rows:
+        want = first.setdefault(html or "", k)
+        assert (out[k].record_type, out[k].refers_to) == (("response", None) if want == k else ("revisit", want))
+        assert out[k].payload_bytes == len(html or "")
