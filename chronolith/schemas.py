@@ -44,7 +44,7 @@ SCALAR_SERIES = T.StructType(
 KLINE_SERIES = T.StructType(
     _fields(
         f"{_SERIES_HEAD} interval_open_ts:l interval_close_ts:l settlement_or_snapshot_ts:l? archive_publication_ts:l? ingestion_ts:l? eligibility_ts:l quality_flags:s? timestamp_role:s "
-        "open:d high:d low:d close:d volume:d quote_volume:d? trade_count:l? taker_buy_volume:d? taker_buy_quote_volume:d? source_count:l source_ignore:s volume_semantics:s"
+        "open:d high:d low:d close:d volume:d quote_volume:d? trade_count:l? taker_buy_volume:d? taker_buy_quote_volume:d? source_count:l source_ignore:s? volume_semantics:s"
     )
 )
 GAPS = T.StructType(_fields("series_id:s interval_open_ts:l interval_close_ts:l enumeration_basis:s exclusion_reason:s"))

@@ -89,7 +89,7 @@ def scan_zip_lines(spark: SparkSession, path: str) -> DataFrame:
                     text = read_member(data).decode("utf-8")
                     if text.startswith("﻿"):
                         raise SourceError("byte_order_mark", name)
-                    lines = text.split("\n")
+                    lines = text.removesuffix("\n").split("\n") if text else []
                     yield pd.DataFrame({"source_file": name, "source_sha256": digest, "line_no": range(len(lines)), "line": [x.removesuffix("\r") for x in lines], "error": None})
                 except (SourceError, UnicodeDecodeError) as error:
                     yield pd.DataFrame({"source_file": [name], "source_sha256": [digest], "line_no": [None], "line": [None], "error": [getattr(error, "error_id", "not_utf8")]})

@@ -50,28 +50,60 @@ def test_zip_scan_and_kline_policy(spark, tmp_path):
     assert kept.count() == 1 and spark.read.parquet(str(tmp_path / "q")).count() == 2
 
 
+def _lines(spark, *lines, header=None):
+    first = [] if header is None else [",".join(header)]
+    return spark.createDataFrame([("f", "0" * 64, n, x) for n, x in enumerate([*first, *lines])], "source_file string, source_sha256 string, line_no long, line string")
+
+
+def _reasons(rows):
+    return [r.reason for r in sorted(rows.collect(), key=lambda r: r.line_no)]
+
+
 def test_series_scans(spark):
     funding = series.REGISTRY[0]
-    lines = [(0, "calc_time,funding_interval_hours,last_funding_rate"), (1, "1580486400002,8,-0.000123456789012345"), (2, "1580515200000,8,0.0001"), (3, "1580515200000,8,0.0001")]
-    df = spark.createDataFrame([("f", "0" * 64, n, x) for n, x in lines], "source_file string, source_sha256 string, line_no long, line string")
+    df = _lines(spark, "1580486400002,8,-0.000123456789012345", "1580515200000,8,0.0001", "1580515200000,8,0.0001", header=archives.FUNDING)
     out = {r.event_ts: r for r in series.scan_funding(df, funding).collect()}
-    assert out[1580486400002].last_funding_rate == Decimal("-0.000123456789012345") and out[1580486400002].eligibility_ts == 1580486400003
-    assert out[1580515200000].quality_flags == "duplicate_exact_bytes"
+    r = out[1580486400002]
+    assert len(out) == 2 and r.last_funding_rate == Decimal("-0.000123456789012345") and r.eligibility_ts == 1580486400003 and r.quality_flags is None
+    assert (r.provider, r.market_type, r.instrument_id, r.native_interval, r.timestamp_role) == ("binance_usd_m_futures", "perpetual", "binance:usd_m_futures:BTCUSDT:perpetual", "per_settlement_event", "settlement")
     clash = df.union(spark.createDataFrame([("f", "0" * 64, 4, "1580515200000,8,0.0002")], df.schema))
     with pytest.raises(Exception, match="same_key_conflict"):
         series.scan_funding(clash, funding).collect()
-    oi = spark.createDataFrame([("f", "0" * 64, 0, "h"), ("f", "0" * 64, 1, '2021-12-01 00:55:00,BTCUSDT,12345.678901234567890123,456789.1234,1,2,3,""')], df.schema)
+    oi = _lines(spark, '2021-12-01 00:55:00,BTCUSDT,12345.678901234567890123,456789.1234,1,2,,""', header=series.OPEN_INTEREST)
     r = series.scan_open_interest(oi, series.REGISTRY[1]).first()
     assert r.sum_open_interest == Decimal("12345.678901234567890123") and r.sum_open_interest_value == "456789.123400000000000000" and r.eligibility_ts == r.event_ts + 300_000
     kraken = series.REGISTRY[6]
-    bars = spark.createDataFrame([("k", "0" * 64, i, f"{T0 // 1000 + 3600 * h},10,12,9,11,1.5,7") for i, h in enumerate((0, 1, 3))], df.schema)
-    k = series.scan_klines(bars, kraken)
-    assert [f.name for f in k.schema] == [f.name for f in schemas.KLINE_SERIES] and k.count() == 3
+    k = series.scan_klines(_lines(spark, *[f"{T0 // 1000 + 3600 * h},10,12,9,11,1.5,7" for h in (0, 1, 3)]), kraken)
+    assert [f.name for f in k.schema] == [f.name for f in schemas.KLINE_SERIES] and k.count() == 3 and {r.instrument_id for r in k.collect()} == {"kraken:spot:XBTUSD"}
     gap = series.gap_manifest(k, kraken, T0, T0 + 4 * 3_600_000).collect()
     assert [g.interval_open_ts for g in gap] == [T0 + 2 * 3_600_000]
     assert series.registry(spark).count() == 13
 
 
+def test_series_rows_are_never_dropped(spark):
+    """Every line that breaks the policy keeps its row, with the reason."""
+    funding, oi, eth_oi, mark, spot, kraken = (series.REGISTRY[k] for k in (0, 1, 9, 2, 5, 6))
+    rows = series.funding_rows(_lines(spark, "1580486400002,8,0.1", "1580486400002,xx,0.1", "1580486400002,0,0.1", "-1,8,0.1", "1,8,0.1", "1580486400002,8", '"1580486400002",8,0.1', "1580486400002,8,01", "", header=archives.FUNDING), funding)
+    assert _reasons(rows) == [None, "funding_interval", "funding_interval", "timestamp_malformed", "outside_period", "field_count", "quoting_not_permitted", "decimal_policy", "field_count"]
+    assert _reasons(series.funding_rows(_lines(spark, "1580486400002,8,0.1"), funding)) == ["header_mismatch"]
+    good = "2022-01-01 00:05:00,ETHUSDT,1.5,2.5"
+    lines = _lines(spark, f"{good},,,,", f"{good},1,2,3,4E-3", f'{good},"",,,', f"{good.replace('ETH', 'BTC')},,,,", f"{good},x,,,", "2022-01-01,ETHUSDT,1,2,,,,", f"{good},,,", header=series.OPEN_INTEREST)
+    assert _reasons(series.open_interest_rows(lines, eth_oi)) == [None, None, "quoting_not_permitted", "symbol", "decimal_policy", "timestamp_malformed", "field_count"]
+    assert _reasons(series.open_interest_rows(lines, oi))[2:4] == ["symbol", None]
+    t = T0
+    bar = lambda t=t, o="10", h="12", l="9", c="11", v="1", close=None, q="1", n="5", extra="": f"{t},{o},{h},{l},{c},{v},{t + 59_999 if close is None else close},{q},{n},0.5,0.5,0{extra}"  # noqa: E731, E741
+    lines = _lines(spark, bar(), bar(close=999), bar(h="10.5"), bar(l="10.5"), bar(extra=",1,2"), bar(t=t + 1), bar(o="-1"), bar(n="-1"), bar(t=1_735_689_600_000), bar(v="1.0000000000000000001"), "x" + bar(), ",".join(series.BAR))
+    assert _reasons(series.bar_rows(lines, spot)) == [None, "bar_span", "bar_bounds", "bar_bounds", "field_count", "off_grid", "decimal_policy", "count", "outside_period", "decimal_policy", "timestamp_malformed", "timestamp_malformed"]
+    with pytest.raises(Exception, match="row_rejected: bar_span in line 1"):
+        series.scan_klines(lines.filter("line_no < 2"), spot).collect()
+    zero = f"{t},-0.5,0.1,-0.6,-0.2,0,{t + 59_999},0,12,0,0,0"
+    lines = _lines(spark, zero, bar(), header=series.BAR)
+    assert _reasons(series.bar_rows(lines, mark, header=True)) == [None, "structural_zero"]
+    assert _reasons(series.bar_rows(_lines(spark, f"{T0 // 1000},1,2,1,1,1,3", f"{T0},1,2,1,1,1,3"), kraken)) == [None, "timestamp_malformed"]
+    r = series.scan_klines(lines.filter("line_no < 2"), mark, header=True).first()
+    assert r.trade_count is None and r.source_count == 12 and r.volume_semantics == "structural_zero" and r.low == Decimal("-0.6")
+
+
 def test_fetch_retries_and_hosts():
     hosts = frozenset({"data.test"})
     answers = [fetch.Response(503, {}, b""), fetch.Response(302, {"location": "/b"}, b""), fetch.Response(200, {}, b"ok")]
