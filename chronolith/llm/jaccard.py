@@ -7,15 +7,15 @@ segment (weight 1) is unequal only if it holds a difference, a wide one (weight
 2), indexed with its one-deletion neighbourhood, is missed only if it holds two;
 so the segments on which a similar pair meets weigh more than the slack. How
 many segments are wide is chosen by cost. The slack pays for segments that are
-empty in a document: they are not indexed unless too many are.
+empty in a document: they are not indexed unless they weigh more.
 
 Buckets of the index are not expanded into pairs. Buckets of the same members
 count as one. In each the members are tried along a shallow tree first; what
 that links is contracted. In buckets that still hold several components every
 member names one member of another component, of which a size bound and a
-parity sketch, both exact, rule out most; rounds go on until they link nothing
-more, over the members for which something is left to try. What is open then is
-searched for every pair. A large bucket is dealt out as pairs of blocks. Every
+parity sketch, both exact, rule out most; rounds go on while many of these are
+linked, over the buckets in which something is left to try. What is open then
+is searched for every pair. A large bucket is dealt out as pairs of blocks. Every
 link is verified on the whole sets.
 """
 
@@ -46,6 +46,8 @@ FANOUT = 32
 BROADCAST_ROWS = 500_000
 #: Members of a bucket in one block, and pairs of one document in one task.
 BLOCK, SHARE = 2048, 64
+#: Rounds end when fewer than one in so many named pairs are linked.
+SETTLED = 10
 #: Signatures gathered for one reduce task.
 TASK_SIGNATURES = 1_000_000
 GROUP_BYTES = 3 << 20
@@ -134,8 +136,7 @@ def allocate(band: int, percent: int) -> Scheme | None:
 
     None where linked sets can only be equal. The cost of a choice is its
     number of signatures and the chance that segments are empty; the slack is
-    what all but about one document in ten thousand lose by empty segments,
-    and 3 more, so that similar documents always meet on two segments.
+    what all but about one document in ten thousand lose by empty segments.
     """
     low, high = bands(percent)[band], bands(percent)[band + 1] - 1
     differences = most_differences(high, high, percent)
@@ -145,7 +146,7 @@ def allocate(band: int, percent: int) -> Scheme | None:
     typical = (low + high) / 2
     best = None
     for share in range(11):
-        slack = 3
+        slack = 0
         for _ in range(40):
             weight = differences + 1 + slack
             wide = round(share / 10 * (weight // 2))
@@ -153,7 +154,7 @@ def allocate(band: int, percent: int) -> Scheme | None:
             segments = exact + wide
             per = least / segments
             lost = exact * exp(-per) + 2 * wide * exp(-per) * (1 + per)
-            need = ceil(lost + 4 * sqrt(lost) + 0.5) + 3
+            need = ceil(lost + 4 * sqrt(lost) + 0.5)
             if need <= slack:
                 break
             slack = need
@@ -198,7 +199,7 @@ def signatures(tokens: np.ndarray, percent: int) -> list[np.ndarray]:
                 without = sums[at] - mixed[inside]
                 keys.append(mix(without + tag[place[inside]])[sizes[place[inside]] > 1])
             lost = int((sizes[scheme.wide :] == 0).sum()) + 2 * int((sizes[: scheme.wide] <= 1).sum())
-            if lost > scheme.slack - 2:  # too many to do without
+            if lost > scheme.slack:  # too many to do without
                 exact = np.flatnonzero(sizes == 0)
                 short = np.flatnonzero(sizes[: scheme.wide] == 1)
                 keys.append(mix(tag[np.concatenate((exact, short))]))
@@ -378,16 +379,14 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
 
 class Found(NamedTuple):
-    """What is open in one bucket: named pairs (a, b) with the components of
-    both and how many b might have named; ``live`` members are in such a pair."""
+    """Pairs (a, b) named in one bucket, with the components of both, and
+    whether the bucket allows others."""
 
     a: np.ndarray
     b: np.ndarray
     comp_a: np.ndarray
     comp_b: np.ndarray
-    allowed: np.ndarray
-    live: np.ndarray
-    live_comp: np.ndarray
+    more: bool
 
 
 def _levels(bits: list[np.ndarray], width: np.ndarray) -> dict[int, tuple[int, np.ndarray]]:
@@ -428,7 +427,7 @@ def _open_pairs(side: np.ndarray, ids: np.ndarray, comp: np.ndarray, n: np.ndarr
     width = np.array([len(x) for x in bits])  # it rises with n
     levels = _levels(bits, width)
     low, high = np.searchsorted(n, -(-n * percent // 100)).tolist(), np.searchsorted(n, n * 100 // percent, side="right").tolist()
-    best, allowed, live = np.full(len(ids), -1), np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
+    best, allowed = np.full(len(ids), -1), 0
     rank = np.empty(len(ids), np.int64)  # by component and id
     rank[np.lexsort((ids, comp))] = np.arange(len(ids))
     for i in np.flatnonzero(~main).tolist():
@@ -449,46 +448,38 @@ def _open_pairs(side: np.ndarray, ids: np.ndarray, comp: np.ndarray, n: np.ndarr
         if every:
             below = comp[j] < comp[i]
             a, b = np.where(below, j, i), np.where(below, i, j)
-            yield Found(ids[a], ids[b], comp[a], comp[b], np.ones(len(j), np.int64), ids[:0], comp[:0])
+            yield Found(ids[a], ids[b], comp[a], comp[b], False)
             continue
-        live[i] = live[j] = True
         lower, higher = j[comp[j] < comp[i]], j[comp[j] > comp[i]]
-        allowed[i] += len(lower)
-        allowed[higher] += 1
+        allowed += len(j)
         if len(lower):
             least = lower[np.argmin(rank[lower])]
             if best[i] < 0 or rank[least] < rank[best[i]]:
                 best[i] = least
         better = higher[(best[higher] < 0) | (rank[i] < rank[best[higher]])]
         best[better] = i
-    if live.any():
+    if allowed:
         b = np.flatnonzero(best >= 0)
         a = best[b]
-        yield Found(ids[a], ids[b], comp[a], comp[b], allowed[b], ids[live], comp[live])
+        yield Found(ids[a], ids[b], comp[a], comp[b], allowed > len(b))
 
 
 def _search(batches: Iterable[pa.RecordBatch], percent: int, every: bool) -> Iterator[pa.RecordBatch]:
     """:func:`_open_pairs` of sorted buckets (key, bucket, side, id, comp, n,
-    sketch), as rows (bucket, a, b, comp_a, comp_b, allowed): pairs, without a
-    bucket, and live members (a) of buckets, without b."""
-    names = ["bucket", "a", "b", "comp_a", "comp_b", "allowed"]
+    sketch), as rows (bucket, a, b, comp_a, comp_b): pairs, without a bucket,
+    and buckets that allow others than they named."""
+    names = ["a", "b", "comp_a", "comp_b"]
     pairs: list[Found] = []
-    live: list[tuple[np.ndarray, ...]] = []
+    buckets: list[int] = []
     held, carried = 0, None
 
-    def rows(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
-        n = len(columns["a"])
-        return pa.RecordBatch.from_arrays([pa.array(columns[c].astype(np.int64)) if c in columns else pa.nulls(n, pa.int64()) for c in names], names=names)
-
     def flush() -> Iterator[pa.RecordBatch]:
-        nonlocal pairs, live, held
+        nonlocal pairs, buckets, held
         if pairs:
-            table = pd.DataFrame({c: np.concatenate([getattr(x, c) for x in pairs]) for c in names[1:]})
-            table = table.groupby(names[1:5], as_index=False)["allowed"].max()
-            yield rows({c: table[c].to_numpy() for c in names[1:]})
-        if live:
-            yield rows({c: np.concatenate([x[k] for x in live]) for k, c in enumerate(("bucket", "a", "comp_a"))})
-        pairs, live, held = [], [], 0
+            table = pd.DataFrame({c: np.concatenate([getattr(x, c) for x in pairs]) for c in names}).drop_duplicates()
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(table), pa.int64()), *[pa.array(table[c].to_numpy(np.int64)) for c in names]], names=["bucket", *names])
+            yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64()), *[pa.nulls(len(buckets), pa.int64())] * 4], names=["bucket", *names])
+        pairs, buckets, held = [], [], 0
 
     def search(table: pa.Table, last: bool) -> None:
         nonlocal carried, held
@@ -503,11 +494,11 @@ def _search(batches: Iterable[pa.RecordBatch], percent: int, every: bool) -> Ite
         for a, b in zip(edges.tolist(), ends.tolist(), strict=True):
             if b - a > 1 and (comp[a:b] != comp[a]).any():
                 bits = [np.frombuffer(x.as_buffer(), np.uint64) for x in sketches.slice(a, b - a)]
-                of = dict(zip(ids[a:b].tolist(), bucket[a:b].tolist(), strict=True))
                 for x in _open_pairs(side[a:b], ids[a:b], comp[a:b], n[a:b], bits, percent, every):
                     pairs.append(x)
-                    live.append((np.array([of[k] for k in x.live.tolist()], np.int64), x.live, x.live_comp))
-                    held += len(x.a) + len(x.live)
+                    held += len(x.a)
+                    if x.more:
+                        buckets.extend(set(bucket[a:b].tolist()))
 
     for batch in batches:
         table = pa.Table.from_batches([batch])
@@ -608,32 +599,25 @@ def _links(own: Staging, texts: DataFrame, described: DataFrame, classes: DataFr
     comps = components(links, "jaccard-contracted")
     placed = own.stage(placed.join(comps.select("id", F.col("label").alias("comp")), "id", "left").select("bucket", "id", F.coalesce("comp", "id").alias("comp")), "jaccard-placed")
     drop(comps)
-    every, tokens = False, None
+    every = False
     while True:
         several = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("size")).filter("low <> high").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
         open_ = own.stage(placed.join(several, "bucket"), "jaccard-open")
-        search = _members(open_, sketches).repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(lambda x, e=every: _search(x, percent, e), "bucket long, a long, b long, comp_a long, comp_b long, allowed long")
+        search = _members(open_, sketches).repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(lambda x, e=every: _search(x, percent, e), "bucket long, a long, b long, comp_a long, comp_b long")
         found = own.stage(search, "jaccard-found")
-        pairs, live = found.filter("bucket is null"), found.filter("bucket is not null").select("bucket", F.col("a").alias("id"), F.col("comp_a").alias("comp")).distinct()
-        if every:
-            named, more = own.stage(pairs.select("a", "b").distinct(), "jaccard-named"), False
-        else:
-            grouped = pairs.groupBy("b", "comp_a", "comp_b").agg(F.min("a").alias("a"), ((F.min("a") != F.max("a")) | (F.max("allowed") > 1)).alias("more"))
-            named = own.stage(grouped, "jaccard-named")
-            more = not named.filter("more").isEmpty()
-        if tokens is None:  # later rounds try no others
-            tokens = sets(own.stage(live.select("id").distinct(), "jaccard-ids"))
+        named = own.stage(found.filter("bucket is null").drop("bucket").distinct(), "jaccard-named")
+        tokens = sets(own.stage(named.select(F.col("a").alias("id")).union(named.select("b")).distinct(), "jaccard-ids"))
         new = own.stage(_verify(named.select("a", "b"), tokens, percent), "jaccard-links")
         links = links.union(new)
-        if not more:
+        left = own.stage(found.filter("bucket is not null").select("bucket").distinct(), "jaccard-left")
+        if left.isEmpty():
             break
-        every = new.isEmpty()
-        if not every:
-            merged = own.stage(new.join(named, ["a", "b"]).select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).distinct(), "jaccard-merged")
-            moved = components(merged, "jaccard-contracted")
-            own.tables.append(moved)
-            live = live.join(moved.select(F.col("id").alias("comp"), "label"), "comp", "left").select("bucket", "id", F.coalesce("label", "comp").alias("comp"))
-        placed = own.stage(live, "jaccard-placed")
+        every = SETTLED * new.count() < named.count()
+        merged = own.stage(new.join(named, ["a", "b"]).select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).distinct(), "jaccard-merged")
+        moved = components(merged, "jaccard-contracted")
+        own.tables.append(moved)
+        rest = open_.select("bucket", "id", "comp").join(left, "bucket")
+        placed = own.stage(rest.join(moved.select(F.col("id").alias("comp"), "label"), "comp", "left").select("bucket", "id", F.coalesce("label", "comp").alias("comp")), "jaccard-placed")
     return own.stage(links.distinct(), "jaccard-links")
 
 

@@ -358,7 +358,7 @@ def test_jaccard_family_of_thousands(spark, monkeypatch):
 
 @pytest.mark.parametrize("block", [None, 7])
 def test_search_of_a_bucket(block):
-    """Named pairs and live members of one bucket against all its pairs."""
+    """Named pairs of one bucket against all its pairs."""
     rng = np.random.default_rng(2)
     base = rng.integers(0, 2**63, 300).astype(np.uint64)
     sets = [np.unique(np.concatenate((base[rng.random(300) > d], rng.integers(0, 2**63, int(300 * d * rng.random())).astype(np.uint64)))) for d in rng.random(60) * 0.25]
@@ -377,8 +377,7 @@ def test_search_of_a_bucket(block):
     assert links <= pairs and all(comp[a // 3] < comp[b // 3] for a, b in pairs)
     (named,) = jaccard._open_pairs(side, ids, comp, n, bits, 80, False)
     assert {b: a for a, b in zip(named.a.tolist(), named.b.tolist(), strict=True)} == {b: min((a for a, x in pairs if x == b), key=lambda a: (comp[a // 3], a)) for _, b in pairs}
-    assert dict(zip(named.b.tolist(), named.allowed.tolist(), strict=True)) == {b: sum(x == b for _, x in pairs) for _, b in pairs}
-    assert set(named.live.tolist()) == {x for p in pairs for x in p}
+    assert named.more == (len(pairs) > len(named.b))
 
 
 def test_components(spark):
@@ -397,10 +396,10 @@ def test_part_labels(spark):
 
 
 @given(st.data())
-@settings(max_examples=60, deadline=None)
-def test_similar_sets_meet_on_two_signatures(data):
+@settings(max_examples=600, deadline=None)
+def test_similar_sets_share_a_signature(data):
     percent = data.draw(st.sampled_from([80, 85, 90]))
-    n = data.draw(st.integers(8, 400))
+    n = data.draw(st.integers(2, 400))
     rng = np.random.default_rng(data.draw(st.integers(0, 2**32)))
     a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
     cut = int(rng.integers(0, jaccard.most_differences(n, n, percent) + 1))
@@ -408,7 +407,7 @@ def test_similar_sets_meet_on_two_signatures(data):
     both = len(np.intersect1d(a, b))
     if 100 * both >= percent * (len(a) + len(b) - both) and both < max(len(a), len(b)):
         ka, kb = (np.concatenate(jaccard.signatures(x, percent)) for x in (a, b))
-        assert len(np.intersect1d(ka, kb)) >= 2
+        assert len(np.intersect1d(ka, kb)) >= 1
 
 
 @pytest.mark.parametrize("version", [1, 2])
