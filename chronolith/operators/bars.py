@@ -88,11 +88,12 @@ def order_findings(rows: DataFrame, position: str, step: int) -> DataFrame:
 def dedup_conflicts(rows: DataFrame, keys: list[str], content: Column, position: Column) -> DataFrame:
     """Per key: copies of the same bytes collapse, different bytes conflict.
 
-    Returns keys, copies, variants, conflict, kept (the first content).
+    Returns keys, copies, variants, conflict, kept (the first content; at the
+    same position the one with the least digest).
     """
     digest = F.sha2(F.encode(content, "UTF-8"), 256)
     by_content = rows.groupBy(*keys, digest.alias("digest")).agg(F.count(F.lit(1)).alias("n"), F.min(position).alias("at"))
-    return by_content.groupBy(*keys).agg(F.sum("n").alias("copies"), F.count(F.lit(1)).alias("variants"), F.min_by("digest", "at").alias("kept")).withColumn("conflict", F.col("variants") > 1)
+    return by_content.groupBy(*keys).agg(F.sum("n").alias("copies"), F.count(F.lit(1)).alias("variants"), F.min_by("digest", F.struct("at", "digest")).alias("kept")).withColumn("conflict", F.col("variants") > 1)
 
 
 def longest_run(flags: DataFrame, keys: list[str], position: str, flag: str) -> DataFrame:

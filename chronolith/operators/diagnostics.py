@@ -6,13 +6,16 @@ import hashlib
 import random
 from collections.abc import Iterable, Iterator
 from datetime import datetime, timezone
+from decimal import Decimal
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronolith.functions.exact import CTX, q18
 from chronolith.operators.features import average_rank
 
 # fixed values: block length, seeds, replicate counts
@@ -203,26 +206,81 @@ def holm(tests: DataFrame, p: str = "p", name: str = "name", alpha: float = 0.05
     return ranked.withColumn("rejected", F.min(F.col("passes").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)) == 1)
 
 
-def _resampled(values: np.ndarray, seed: int, replicates: int) -> list[float]:
-    rng = random.Random(seed)
-    n = len(values)
-    return [float(np.mean(values[[rng.randrange(n) for _ in range(n)]])) for _ in range(replicates)]
+def percentile(ordered: list[Decimal], share: Decimal) -> Decimal:
+    """Linear interpolation between the two nearest of sorted values."""
+    whole, part = divmod(CTX.multiply(Decimal(len(ordered) - 1), share), 1)
+    low, high = ordered[int(whole)], ordered[min(int(whole) + 1, len(ordered) - 1)]
+    return CTX.add(low, CTX.multiply(CTX.subtract(high, low), part))
 
 
 def ic_resampling(values: DataFrame, value: str = "ic", replicates: int = 10_000, seed: int = IC_SEED) -> DataFrame:
-    """iid bootstrap interval of the mean, and the sign-flip permutation p-value,
-    of one short list of fold values (a fold is a row)."""
+    """iid bootstrap interval of the mean (interpolated percentiles), and the
+    share of sign flips whose mean is as far from 0, of one short list of fold
+    values (a fold is a row). Means have 50 digits, results 18 places."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values("fold_id")[value].to_numpy(float)
-        means = sorted(_resampled(x, seed, replicates))
+        x = [v if isinstance(v, Decimal) else Decimal(repr(float(v))) for v in pdf.sort_values("fold_id")[value]]
+        n = len(x)
+        total = lambda values: reduce(CTX.add, values, Decimal(0))
+        rng = random.Random(seed)
+        means = sorted(CTX.divide(total(x[rng.randrange(n)] for _ in range(n)), Decimal(n)) for _ in range(replicates))
         rng = random.Random(seed)
-        observed = float(x.mean())
-        flips = sum(abs(float(np.mean([v if rng.random() < 0.5 else -v for v in x]))) >= abs(observed) for _ in range(replicates))
-        return pd.DataFrame([{"n": len(x), "mean": observed, "ci_low": means[int(0.025 * replicates)], "ci_high": means[min(replicates - 1, int(0.975 * replicates))], "p_value": (flips + 1) / (replicates + 1)}])
+        observed = abs(total(x))
+        flips = sum(abs(total(v if rng.random() < 0.5 else -v for v in x)) >= observed for _ in range(replicates))
+        ends = [float(q18(percentile(means, p))) for p in (Decimal("0.025"), Decimal("0.975"))]
+        return pd.DataFrame([{"n": n, "mean": float(q18(CTX.divide(total(x), Decimal(n)))), "ci_low": ends[0], "ci_high": ends[1], "p_value": flips / replicates}])
 
     return values.withColumn("all__", F.lit(0)).groupBy("all__").applyInPandas(run, "n long, mean double, ci_low double, ci_high double, p_value double")
 
 
+def block_sign_flips(values: DataFrame, value: str = "ic", blocks: tuple[int, ...] = (1, 2, 4, 8), replicates: int = 20_000, seed: int = IC_SEED) -> DataFrame:
+    """The sign-flip null of the mean of fold values, with one sign for each run
+    of ``block`` folds: block, z of the observed mean, and the least p-value that
+    the permutations can state, (k + 1) / (replicates + 1)."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = pdf.sort_values("fold_id")[value].to_numpy(float)
+        out = []
+        for block in blocks:
+            sums = np.add.reduceat(x, np.arange(0, len(x), block))
+            signs = np.random.default_rng((seed, block)).integers(0, 2, (replicates, len(sums))) * 2 - 1
+            means = signs @ sums / len(x)
+            out.append((block, float(x.mean() / means.std()), (int((np.abs(means) >= abs(x.mean())).sum()) + 1) / (replicates + 1)))
+        return pd.DataFrame(out, columns=["block", "z", "p_value"])
+
+    return values.withColumn("all__", F.lit(0)).groupBy("all__").applyInPandas(run, "block int, z double, p_value double")
+
+
+def ar1_surrogates(rows: DataFrame, score: str = "score", label: str = "label", surrogates: int = 300, seed: int = 20260830) -> DataFrame:
+    """Spread of per-fold correlations of skill-free AR(1) scores with the labels.
+
+    Of rows (fold_id, row_index, score, label), the scores' lag-1 correlation is
+    phi; each surrogate is a Gaussian AR(1) series of that phi over all rows.
+    Returns phi, the model's standard deviation over folds, and the mean and the
+    95 per cent range of the surrogates'.
+    """
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("row_index")
+        x, y, fold = pdf[score].to_numpy(float), pdf[label].to_numpy(float), pdf["fold_id"].to_numpy()
+        phi = float(np.corrcoef(x[1:], x[:-1])[0, 1])
+        parts = [np.flatnonzero(fold == f) for f in np.unique(fold)]
+
+        def spread(s: np.ndarray) -> float:
+            each = [np.corrcoef(s[p], y[p])[0, 1] for p in parts if len(p) > 1 and s[p].std() > 0 and y[p].std() > 0]
+            return float(np.std(each))
+
+        rng = np.random.default_rng(seed)
+        null = []
+        for _ in range(surrogates):
+            noise = rng.standard_normal(len(x))
+            s = np.empty(len(x))
+            s[0] = noise[0] / np.sqrt(max(1e-12, 1 - phi * phi))
+            for t in range(1, len(x)):
+                s[t] = phi * s[t - 1] + noise[t]
+            null.append(spread(s))
+        return pd.DataFrame([(phi, spread(x), float(np.mean(null)), float(np.quantile(null, 0.025)), float(np.quantile(null, 0.975)))], columns=["phi", "model_sd", "null_sd", "null_low", "null_high"])
+
+    return rows.withColumn("all__", F.lit(0)).groupBy("all__").applyInPandas(run, "phi double, model_sd double, null_sd double, null_low double, null_high double")
+
+
 def circular_block_bootstrap(scored: DataFrame, replicates: int = 10_000, block: int = BLOCK_HOURS, seed: int = PHASE_SEED) -> DataFrame:
     """One-sided lower bound of the mean of AUC - 0.5 over phases, by circular
     blocks of whole rows (ceil(n / block) blocks, not cut to n). Replicates are

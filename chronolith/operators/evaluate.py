@@ -6,7 +6,9 @@ arithmetic in one task per (series, fold, feature), whose rows a fold bounds.
 
 from __future__ import annotations
 
+from collections import Counter
 from decimal import Decimal
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -47,17 +49,11 @@ def pearson(xs: list[Decimal], ys: list[Decimal]) -> Decimal:
 
 def ranks(xs: list[Decimal]) -> list[Decimal]:
     """1-based ranks, ties at their mean."""
-    order = sorted(range(len(xs)), key=xs.__getitem__)
-    out = [Decimal(0)] * len(xs)
-    i = 0
-    while i < len(order):
-        j = i
-        while j + 1 < len(order) and xs[order[j + 1]] == xs[order[i]]:
-            j += 1
-        for k in order[i : j + 1]:
-            out[k] = CTX.divide(Decimal(i + j + 2), Decimal(2))
-        i = j + 1
-    return out
+    many = Counter(xs)
+    values = sorted(many)
+    upto = accumulate(many[v] for v in values)
+    middle = {v: CTX.divide(Decimal(2 * end - many[v] + 1), Decimal(2)) for v, end in zip(values, upto, strict=True)}
+    return [middle[x] for x in xs]
 
 
 def spearman(xs: list[Decimal], ys: list[Decimal]) -> Decimal:

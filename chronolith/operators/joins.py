@@ -22,6 +22,15 @@ def asof(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, by: lis
     return found.select("left__.*", F.col("last__.ts__").alias("matched_ts"), *[F.col(f"last__.{v}").alias(v) for v in values])
 
 
+#: How long an open-interest snapshot is kept back, in milliseconds.
+OI_DELAY_MS = 300_000
+
+
+def latest_oi_open(boundary: Column) -> Column:
+    """The latest snapshot time that is eligible at a boundary."""
+    return boundary - OI_DELAY_MS
+
+
 def asof_bucketed(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, by: list[str], values: list[str], tiebreak: str, width: int) -> DataFrame:
     """As :func:`asof` (strict) for keys too long for one task: time is cut into
     buckets of ``width``; each bucket also gets the last right row of the

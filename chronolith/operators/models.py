@@ -76,6 +76,15 @@ def scale_of(rows: list[list[Decimal]]) -> Scale:
     return Scale(means, deviations)
 
 
+class TrainingError(ValueError):
+    """A fold that can't be trained."""
+
+
+def _enough(n: int, fold: object) -> None:
+    if n < LEAST_TRAIN:
+        raise TrainingError(f"fold {fold} has {n} usable train rows of at least {LEAST_TRAIN}")
+
+
 class Ridge(NamedTuple):
     scale: Scale
     weights: list[Decimal]
@@ -115,7 +124,8 @@ def _sigmoid(eta: Decimal) -> tuple[Decimal, int]:
 
 
 def fit_logistic(rows: list[list[Decimal]], labels: list[int], penalty: Decimal = PENALTY) -> Logistic:
-    """Iteratively reweighted least squares with an unpenalised intercept."""
+    """Iteratively reweighted least squares with an unpenalised intercept;
+    weights that do not settle raise :class:`TrainingError`."""
     scale = scale_of(rows)
     x = [[ONE, *scale.of(r)] for r in rows]
     width = len(x[0])
@@ -125,8 +135,9 @@ def fit_logistic(rows: list[list[Decimal]], labels: list[int], penalty: Decimal
         gram = [[ZERO] * width for _ in range(width)]
         right = [ZERO] * width
         for row, label in zip(x, labels, strict=True):
-            eta = max(-ETA_LIMIT, min(ETA_LIMIT, _dot(w, row)))
-            mu, hit = _sigmoid(eta)
+            raw = _dot(w, row)
+            eta = max(-ETA_LIMIT, min(ETA_LIMIT, raw))
+            mu, hit = _sigmoid(raw)
             hits += hit
             v = CTX.multiply(mu, CTX.subtract(ONE, mu))
             z = CTX.add(eta, CTX.divide(CTX.subtract(Decimal(label), mu), v))
@@ -143,9 +154,9 @@ def fit_logistic(rows: list[list[Decimal]], labels: list[int], penalty: Decimal
         new = solve(gram, right)
         moved = max(abs(CTX.subtract(a, b)) for a, b in zip(new, w, strict=True))
         w = new
-        if moved <= TOLERANCE:
+        if moved < TOLERANCE:
             return Logistic(scale, w, step, True, hits)
-    return Logistic(scale, w, MOST_ITERATIONS, False, hits)
+    raise TrainingError(f"irls_did_not_converge after {MOST_ITERATIONS} steps")
 
 
 def log_loss(p: list[Decimal], labels: list[int]) -> Decimal:
@@ -193,12 +204,14 @@ def _share(hits: int, n: int) -> Decimal:
 
 
 def ridge_walk_forward(sided: DataFrame) -> DataFrame:
-    """Per fold: metrics of ridge and of the majority and sign baselines."""
+    """Per fold: metrics of ridge and of the majority and sign baselines. A fold
+    with test rows but too few usable train rows fails the job."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("row_index")
         train, test = pdf[pdf["side"] == "train"], pdf[pdf["side"] == "test"]
-        if len(train) < LEAST_TRAIN or test.empty:
+        if test.empty:
             return pd.DataFrame(columns=[c.split()[0] for c in RIDGE_SCHEMA.split(", ")])
+        _enough(len(train), pdf["fold_id"].iloc[0])
         x, y = _matrix(train), list(train["l_fwdret_24"])
         model, again = fit_ridge(x, y), fit_ridge(x, y)
         actual, direction = list(test["l_fwdret_24"]), [int(d) for d in test["l_fwddir_24"]]
@@ -214,13 +227,15 @@ def ridge_walk_forward(sided: DataFrame) -> DataFrame:
 
 
 def logistic_walk_forward(sided: DataFrame) -> DataFrame:
-    """Per fold: fit on rows with a direction, metrics on test rows with one."""
+    """Per fold: fit on rows with a direction, metrics on test rows with one. A
+    fold with test rows but too few usable train rows fails the job."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf[pdf["l_fwddir_24"] != 0].sort_values("row_index")
         train, test = pdf[pdf["side"] == "train"], pdf[pdf["side"] == "test"]
         names = [c.split()[0] for c in LOGISTIC_SCHEMA.split(", ")]
-        if len(train) < LEAST_TRAIN or test.empty:
+        if test.empty:
             return pd.DataFrame(columns=names)
+        _enough(len(train), pdf["fold_id"].iloc[0])
         model = fit_logistic(_matrix(train), [int(d == 1) for d in train["l_fwddir_24"]])
         labels = [int(d == 1) for d in test["l_fwddir_24"]]
         p = [model.probability(r) for r in _matrix(test)]
@@ -234,6 +249,55 @@ def logistic_walk_forward(sided: DataFrame) -> DataFrame:
     return sided.groupBy("series", "fold_id").applyInPandas(run, LOGISTIC_SCHEMA)
 
 
+# fixed values: the stages of the model ladder, by what each adds to its base
+LADDER = {
+    "B0": (None, ()),
+    "B1": (None, ("log(RV_1d)",)),
+    "B2": (None, ("log(RV_1d)", "log(RV_7d)", "log(RV_30d)")),
+    "M1": ("B2", ("funding_24h_sum", "dlog_oi_24h", "native_premium_1h_mean")),
+    "M2": ("M1", ("spot_perp_dislocation",)),
+    "M2K": ("M2", ("kraken_ret_1h", "kraken_rv_24h", "binance_kraken_ret_divergence_1h", "binance_kraken_cross_quote_log_ratio")),
+    "M3": ("M2", ("eth_ret_1h", "eth_rv_24h", "eth_funding_24h_sum", "eth_native_premium_1h_mean", "eth_btc_relative_ret_24h")),
+    "M3b": ("M3", ("eth_dlog_oi_24h",)),
+    "M4": ("M3", ("kraken_ret_1h", "kraken_rv_24h", "binance_kraken_ret_divergence_1h", "binance_kraken_cross_quote_log_ratio")),
+}
+
+
+def ladder_features(stage: str) -> tuple[str, ...]:
+    """All features of a stage of the ladder, its bases' first."""
+    base, adds = LADDER[stage]
+    return (ladder_features(base) if base else ()) + adds
+
+
+def ladder_walk_forward(sided: DataFrame, stages: tuple[str, ...], label: str = "label") -> DataFrame:
+    """Per fold and stage: log-loss and Brier score of the stage's logistic model
+    on the rows (series, fold_id, side, row_index, label 0 or 1, features) that
+    are complete for it; without features, of the climatology. Fewer usable train
+    rows than the minimum fail the job."""
+    schema = "series string, fold_id int, stage string, features int, n_train long, n_test long, log_loss decimal(38,18), brier decimal(38,18)"
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for stage in stages:
+            names = list(ladder_features(stage))
+            own = pdf.dropna(subset=[*names, label]).sort_values("row_index")
+            train, test = own[own["side"] == "train"], own[own["side"] == "test"]
+            if test.empty:
+                continue
+            _enough(len(train), pdf["fold_id"].iloc[0])
+            y, truth = [int(v) for v in train[label]], [int(v) for v in test[label]]
+            rows = lambda part: [list(r) for r in part[names].itertuples(index=False, name=None)]  # noqa: B023, E731
+            if names:
+                model = fit_logistic(rows(train), y)
+                p = [model.probability(r) for r in rows(test)]
+            else:
+                p = [climatology(sum(y), len(y) - sum(y))] * len(truth)
+            out.append((pdf["series"].iloc[0], pdf["fold_id"].iloc[0], stage, len(names), len(train), len(test), log_loss(p, truth), brier(p, truth)))
+        return pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
+
+    return sided.groupBy("series", "fold_id").applyInPandas(run, schema)
+
+
 def kill_gate(means: DataFrame) -> DataFrame:
     """Every criterion of the gate on mean metrics, and whether all pass."""
     checks = {k: (F.col(k) >= float(v) if op == ">=" else F.col(k) <= float(v)) for k, (op, v) in KILL.items()}

@@ -121,14 +121,25 @@ def evaluation_findings(records: DataFrame, folds: int, features: int) -> DataFr
 
 
 def training_findings(records: DataFrame, folds: int) -> DataFrame:
-    """Matrix, bounds and determinism of walk-forward training records."""
+    """Matrix, bounds, baselines and determinism of walk-forward training
+    records, of ridge or of the logistic model by the columns that they have."""
+    has = set(records.columns)
+    missing, unsure, outside = F.lit(False), F.lit(False), F.lit(False)
+    for c in ("majority_accuracy", "sign_accuracy", "climatology_p", "climatology_log_loss", "climatology_brier"):
+        missing = missing | F.col(c).isNull() if c in has else missing
+    for c in ("deterministic", "converged"):
+        unsure = unsure | ~F.coalesce(F.col(c), F.lit(False)) if c in has else unsure
+    for c, low in (("return_ic", -1), ("direction_ic", -1), ("brier", 0), ("majority_accuracy", 0), ("sign_accuracy", 0), ("climatology_p", 0)):
+        outside = outside | ~F.coalesce(F.col(c).between(low, 1), F.lit(True)) if c in has else outside
     return findings(
         records,
         {
             "training_record_matrix": (HARD, F.abs(F.count(F.lit(1)) - folds) + F.count(F.lit(1)) - F.count_distinct("fold_id")),
             "training_train_rows": (HARD, F.count_if(F.col("n_train") < 200)),
-            "training_metric_bounds": (HARD, F.count_if(~F.col("directional_accuracy").between(0, 1))),
-            "training_baseline_presence": (HARD, F.count_if(F.col("baseline").isNull())),
+            "training_metric_bounds": (HARD, F.count_if(~F.coalesce(F.col("directional_accuracy").between(0, 1), F.lit(False)) | outside)),
+            "training_baseline_presence": (HARD, F.count_if(missing)),
+            "training_determinism": (HARD, F.count_if(unsure)),
+            "training_test_rows": (HARD, F.count_if(~F.coalesce(F.col("n_test") > 0, F.lit(False)))),
         },
         ("series",),
     )

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolith.plans import bars_sql, joins_sql, research_sql
+from chronolith.plans import bars_sql, joins_sql, research_sql, scans_sql
 
-QUERIES = bars_sql.Q | research_sql.Q | joins_sql.Q
-SQL = bars_sql.S | research_sql.S | joins_sql.S
+QUERIES = bars_sql.Q | research_sql.Q | joins_sql.Q | scans_sql.Q
+SQL = bars_sql.S | research_sql.S | joins_sql.S | scans_sql.S
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -268,10 +268,20 @@ def ar1_coefficient(spark, sf_dir):
     return long.withColumn("px", F.lag("x").over(w)).filter("x is not null and px is not null").groupBy("feature").agg(r9(F.corr("x", "px")).alias("ar1"))
 
 
-@query("value_range_scan", "select props_key, count(*) as n from (select unnest(json_keys(props)) as props_key from events) group by 1")
+_NESTED = """'{"id": ' || event_id || ', "in": {"list": [' || user_id || ', "' || event_id || '", {"props": ' || props || '}], "day": "2025-01-' || lpad((event_id % 28 + 1)::varchar, 2, '0') || 'T00:00"}, "flag": true}'"""
+
+
+@query("value_range_scan", f"""
+    select replace(fullkey, '"', '') as path, count(*) as n from (select unnest(j) as x from (select list_value({_NESTED}) as j from events)) d, json_tree(d.x::json) as t
+    where (t.type in ('UBIGINT', 'BIGINT') and try_cast(t.atom::varchar as bigint) between 10 and 59)
+       or (t.type = 'VARCHAR' and (case when regexp_full_match(t.atom->>'$', '[0-9]+') then try_cast(t.atom->>'$' as bigint) between 10 and 59 else regexp_matches(t.atom->>'$', '2025-[0-9]{{2}}-[0-9]{{2}}') end))
+    group by 1""")
 def value_range_scan(spark, sf_dir):
-    """Keys of nested documents, each with how often it stands."""
-    return table(spark, sf_dir, "events").select(F.explode(F.json_object_keys("props")).alias("props_key")).groupBy("props_key").agg(F.count(F.lit(1)).alias("n"))
+    """Paths of nested documents whose values lie in a range or a year."""
+    from chronolith.operators.nested import value_range
+
+    docs = table(spark, sf_dir, "events").select(F.expr(_NESTED.replace("(event_id % 28 + 1)::varchar", "cast(event_id % 28 + 1 as string)")).alias("doc"))
+    return value_range(docs, "doc", 10, 60, year=2025).select("path", "n")
 
 
 _IC = "(values ('a', 0.08, 0.01, 0.05, 0.01), ('b', 0.15, 0.01, 0.05, 0.01), ('c', 0.25, 0.01, 0.05, 0.01), ('d', 0.08, -0.01, 0.05, 0.01), ('e', 0.08, 0.01, 0.05, 0.2)) t(name, sd, ci_low, ci_high, p_value)"
@@ -319,7 +329,7 @@ def retained_model(spark, sf_dir):
     return gates.retained_model(hypothesis_gate(spark, sf_dir))
 
 
-@query("series_registry", "select unnest(['binance_usdm', 'binance_spot', 'kraken']) as provider, unnest([11, 1, 1])::bigint as n")
+@query("series_registry", "select unnest(['binance_usd_m_futures', 'binance_futures', 'binance_spot', 'kraken']) as provider, unnest([3, 8, 1, 1])::bigint as n")
 def series_registry(spark, sf_dir):
     from chronolith.sources.series import registry
 

@@ -331,10 +331,12 @@ def prefix_sums(spark, sf_dir):
     return D.prefix_sums(grid(spark, sf_dir))
 
 
-@query("block_means", f"select s as start_at, (coalesce(sum(d), 0))::bigint as num, count(d) as den from (select unnest(range(0, 300, 24)) as s) b join {GRID} g on g.hour_idx >= s and g.hour_idx < s + 168 group by s")
+@query("block_means", f"select s as start_at, (coalesce(sum(d), 0))::bigint as num, count(d) as den from (select unnest(range(0, (select max(hour_idx) + 1 from {GRID}) - 167, 24)) as s) b join {GRID} g on g.hour_idx >= s and g.hour_idx < s + 168 group by s")
 def block_means(spark, sf_dir):
-    """Blocks at fixed starts, each from two prefix look-ups."""
-    starts = hours(spark, sf_dir).select("year", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(299).cast("long"), F.lit(24).cast("long"))).alias("start")).withColumns({"take": F.lit(168).cast("long"), "replicate": F.col("start").cast("int")})
+    """Blocks that start every 24 hours, as long as they lie in the grid whole;
+    each is two prefix look-ups."""
+    last = F.col("hours").cast("long") - 168
+    starts = hours(spark, sf_dir).filter(last >= 0).select("year", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(24).cast("long"))).alias("start")).withColumns({"take": F.lit(168).cast("long"), "replicate": F.col("start").cast("int")})
     return D.block_means(starts, D.prefix_sums(grid(spark, sf_dir))).select(F.col("replicate").cast("long").alias("start_at"), "num", "den")
 
 

@@ -105,14 +105,14 @@ def _outside(t: Column, start_ms: int, end_ms: int) -> Column:
 def funding_rows(lines: DataFrame, series: Series, start_ms: int = FIRST_MS, end_ms: int = AFTER_MS) -> DataFrame:
     """Typed settled-funding rows, each with the ``reason`` that it breaks the
     policy by, null for none. The first line of a file must be the header."""
-    rows = _fields(_headed(lines, FUNDING), FUNDING)
-    t, rate = parse.epoch_ms(F.col("calc_time")), parse.signed_decimal(F.col("last_funding_rate"))
+    rows = _fields(_headed(lines, FUNDING), FUNDING).withColumns({"event_ts": parse.epoch_ms(F.col("calc_time")), "rate": parse.signed_decimal(F.col("last_funding_rate"))})
+    t, rate = F.col("event_ts"), F.col("rate")
     hours = F.col("funding_interval_hours")
     reason = _first(
         (F.col("bad_header"), "header_mismatch"), (F.contains("line", F.lit('"')), "quoting_not_permitted"), (F.size("parts") != len(FUNDING), "field_count"), (t.isNull(), "timestamp_malformed"), (_outside(t, start_ms, end_ms), "outside_period"),
         (~(hours.rlike("^[0-9]{1,19}$") & (hours.try_cast("bigint") > 0)), "funding_interval"), (rate.isNull(), "decimal_policy"),
     )
-    return rows.select("source_file", "source_sha256", "line_no", "line", t.alias("event_ts"), "funding_interval_hours", rate.alias("last_funding_rate"), reason.alias("reason"))
+    return rows.select("source_file", "source_sha256", "line_no", "line", "event_ts", "funding_interval_hours", rate.alias("last_funding_rate"), reason.alias("reason"))
 
 
 def open_interest_rows(lines: DataFrame, series: Series, start_ms: int = FIRST_MS, end_ms: int = AFTER_MS) -> DataFrame:
@@ -127,13 +127,14 @@ def open_interest_rows(lines: DataFrame, series: Series, start_ms: int = FIRST_M
         quoted = quoted | (own & (F.col(c) != '""') if c in OPEN_INTEREST[4:] and len(empty) > 1 else own)
     for c in OPEN_INTEREST[4:]:
         ratios = ratios | ~(F.col(c).isin(*empty) | parse.decimal_reason(parse.expand_scientific(F.col(c))).isNull())
-    t = parse.datetime_ms(F.col("create_time"))
-    value, amount = parse.exact_decimal(parse.expand_scientific(F.col("sum_open_interest"))), parse.exact_decimal(parse.expand_scientific(F.col("sum_open_interest_value")))
+    number = lambda c: parse.exact_decimal(parse.expand_scientific(F.col(c)))
+    rows = rows.withColumns({"event_ts": parse.datetime_ms(F.col("create_time")), "value": number("sum_open_interest"), "amount": number("sum_open_interest_value"), "bad_ratio": ratios})
+    t, value, amount, ratios = F.col("event_ts"), F.col("value"), F.col("amount"), F.col("bad_ratio")
     reason = _first(
         (F.col("bad_header"), "header_mismatch"), (F.size("parts") != len(OPEN_INTEREST), "field_count"), (quoted, "quoting_not_permitted"), (t.isNull(), "timestamp_malformed"), (_outside(t, start_ms, end_ms), "outside_period"),
         (F.col("symbol") != series.symbol, "symbol"), (ratios | value.isNull() | amount.isNull(), "decimal_policy"),
     )
-    return rows.select("source_file", "source_sha256", "line_no", "line", t.alias("event_ts"), value.alias("sum_open_interest"), parse.q18_text(amount).alias("sum_open_interest_value"), reason.alias("reason"))
+    return rows.select("source_file", "source_sha256", "line_no", "line", "event_ts", value.alias("sum_open_interest"), parse.q18_text(amount).alias("sum_open_interest_value"), reason.alias("reason"))
 
 
 # fixed values: the columns of bars, of 12 columns and of 7
@@ -152,10 +153,15 @@ def bar_rows(lines: DataFrame, series: Series, header: bool = False, start_ms: i
     names = BAR_SEVEN if seven else BAR
     rows = _fields(_headed(lines, names) if header else lines.withColumn("bad_header", F.lit(False)), names)
     step = STEPS[series.native_interval]
-    t = F.when(F.col("open_time").rlike("^[0-9]{10}$" if seven else "^[0-9]{13}$"), F.col("open_time").try_cast("bigint") * (1000 if seven else 1))
-    number = lambda c, signed=False: (parse.signed_decimal if signed else parse.exact_decimal)(parse.expand_scientific(F.col(c)))
-    prices = {c: number(c, derived) for c in ("open", "high", "low", "close")}
-    volumes = {c: number(c) for c in ("volume",) + (() if seven else ("quote_volume", "taker_buy_volume", "taker_buy_quote_volume"))}
+    time = F.when(F.col("open_time").rlike("^[0-9]{10}$" if seven else "^[0-9]{13}$"), F.col("open_time").try_cast("bigint") * (1000 if seven else 1))
+    number = lambda c, signed=False: (parse.signed_decimal if signed else parse.exact_decimal)(F.col(c))
+    price_names = ("open", "high", "low", "close")
+    volume_names = ("volume",) + (() if seven else ("quote_volume", "taker_buy_volume", "taker_buy_quote_volume"))
+    # step by step, so that what is used often is computed once
+    rows = rows.withColumns({"event_ts": time} | {c: parse.expand_scientific(F.col(c)) for c in price_names + volume_names})
+    rows = rows.withColumns({f"{c}_number": number(c, derived and c in price_names) for c in price_names + volume_names})
+    t = F.col("event_ts")
+    prices, volumes = {c: F.col(f"{c}_number") for c in price_names}, {c: F.col(f"{c}_number") for c in volume_names}
     missing, traded = F.lit(False), F.lit(False)
     for c in (*prices.values(), *volumes.values()):
         missing = missing | c.isNull()
@@ -170,7 +176,7 @@ def bar_rows(lines: DataFrame, series: Series, header: bool = False, start_ms: i
     )
     absent = F.lit(None).cast(schemas.D38)
     return rows.select(
-        "source_file", "source_sha256", "line_no", "line", t.alias("event_ts"), *[c.alias(k) for k, c in prices.items()], *[volumes.get(c, absent).alias(c) for c in ("volume", "quote_volume", "taker_buy_volume", "taker_buy_quote_volume")],
+        "source_file", "source_sha256", "line_no", "line", "event_ts", *[c.alias(k) for k, c in prices.items()], *[volumes.get(c, absent).alias(c) for c in ("volume", "quote_volume", "taker_buy_volume", "taker_buy_quote_volume")],
         count.alias("source_count"), (F.lit(None).cast("string") if seven else F.col("ignore")).alias("source_ignore"), reason.alias("reason"),
     )
 

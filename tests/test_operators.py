@@ -20,6 +20,7 @@ from chronolith.operators import features as X
 from chronolith.operators import folds as W
 from chronolith.operators import joins as J
 from chronolith.operators import models as M
+from chronolith.operators import nested
 from chronolith.operators import quality as QE
 
 HOUR = 3_600_000
@@ -257,3 +258,39 @@ def test_schemas(spark, tmp_path):
     assert schemas.read_exact(spark, str(tmp_path / "r"), schemas.RESEARCH).count() == 30
     with pytest.raises(schemas.SchemaDrift):
         schemas.read_exact(spark, str(tmp_path / "r"), schemas.FOLDS)
+
+
+def test_ladder_and_training_errors(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    names = M.ladder_features("M4")
+    assert [len(M.ladder_features(s)) for s in ("B0", "B1", "B2", "M1", "M2", "M2K", "M3", "M3b", "M4")] == [0, 1, 3, 6, 7, 11, 12, 13, 16]
+    rows = []
+    for k in range(290):
+        x = [Decimal(str(round(v, 6))) for v in rng.normal(size=len(names))]
+        rows.append(("s", 0, "train" if k < 240 else "test", k, int(float(x[0]) + rng.normal() > 0), *x))
+    frame = spark.createDataFrame(rows, "series string, fold_id int, side string, row_index long, label int, " + ", ".join(f"`{c}` decimal(38,18)" for c in names))
+    out = {r.stage: r for r in M.ladder_walk_forward(frame, ("B0", "B1", "M1")).collect()}
+    assert out["B1"].log_loss < out["B0"].log_loss and out["M1"].features == 6 and out["B0"].n_train == 240
+    with pytest.raises(Exception, match="150 usable train rows"):
+        M.ladder_walk_forward(frame.filter("row_index < 150 or side = 'test'"), ("B1",)).collect()
+    monkeypatch.setattr(M, "MOST_ITERATIONS", 1)
+    with pytest.raises(M.TrainingError, match="irls_did_not_converge"):
+        M.fit_logistic([[Decimal(k)] for k in range(8)], [0, 0, 1, 0, 1, 0, 1, 1])
+
+
+def test_percentile_and_flips(spark):
+    assert D.percentile([Decimal(k) for k in (1, 2, 4, 8)], Decimal("0.25")) == Decimal("1.75")
+    ics = spark.createDataFrame([(k, 0.1) for k in range(9)], "fold_id int, ic double")
+    r = D.ic_resampling(ics, replicates=400).first()
+    assert r.ci_low == r.ci_high == r.mean == pytest.approx(0.1) and r.p_value * 400 == round(r.p_value * 400) and r.p_value < 0.05
+    out = {r.block: r for r in D.block_sign_flips(ics, replicates=2000).collect()}
+    assert out[1].z == pytest.approx(3, rel=0.1) and out[1].p_value < out[4].p_value
+    one = spark.createDataFrame([(k // 20, k, float(np.sin(k / 3)), k % 2) for k in range(200)], "fold_id int, row_index long, score double, label int")
+    r = D.ar1_surrogates(one, surrogates=40).first()
+    assert r.phi == pytest.approx(np.cos(1 / 3), abs=0.02) and r.null_low < r.null_sd < r.null_high
+
+
+def test_nested_leaves(spark):
+    docs = spark.createDataFrame([('{"a": [1, {"b": "2025-03-01"}, "7"], "c": {}, "d": true}',), (None,), ("no json",), ("5",)], "doc string")
+    assert sorted(map(tuple, nested.leaves(docs, "doc").select("path", "value").collect())) == [("$", "5"), ("$.a[0]", "1"), ("$.a[1].b", "2025-03-01"), ("$.a[2]", "7"), ("$.d", "true")]
+    assert {r.path: r.n for r in nested.value_range(docs, "doc", 5, 8, 2025).collect()} == {"$": 1, "$.a[1].b": 1, "$.a[2]": 1}

@@ -163,6 +163,14 @@ def test_publish_table_and_backfill(spark, tmp_path):
     assert go(ok.withColumn("outcome", F.lit("fail"))) == "QUALITY_BLOCKED" and s.current("r/2024") is None
     assert go(ok) == "PUBLISHED" and go(ok) == "VERIFIED_NO_OP"
     assert spark.read.parquet(str(tmp_path / "t")).count() == 5
+    first = s.current("r/2024")
+    assert orchestrate.verify_table(spark, schemas.RESEARCH, ["open_time_ms"], "r/2024", s)["path"].endswith(first)
+    other = orchestrate.publish_table(df.limit(3), schemas.RESEARCH, ok, ["open_time_ms"], "r/2024", str(tmp_path / "t"), s)
+    assert other == "PUBLISHED" and s.current("r/2024") != first
+    assert spark.read.parquet(str(tmp_path / "t" / f"commit={first}")).count() == 5  # what stood before still stands
+    df.limit(2).write.mode("overwrite").parquet(str(tmp_path / "t" / f"commit={s.current('r/2024')}"))
+    with pytest.raises(PublicationError, match="stored table differs"):
+        orchestrate.verify_table(spark, schemas.RESEARCH, ["open_time_ms"], "r/2024", s)
     assert orchestrate.first_unpublished(["2024", "2025"], s, "r") == "2025"
     out = orchestrate.backfill(["a", "b", "c", "d"], lambda p: "REJECTED" if p == "b" else "PUBLISHED")
     assert out == {"a": "PUBLISHED", "b": "REJECTED"}
