@@ -388,7 +388,7 @@ def top_per_customer(spark, sf_dir):
     return o.withColumn("k", F.row_number().over(Window.partitionBy("o_custkey").orderBy(F.col("cents").desc(), "o_orderkey")).cast("long")).filter("k <= 3")
 
 
-@query("streaming_bars")
+@query("streaming_bars", f"select series, open_ms, open, high, low, close, volume, trades from ({bars_sql(HOUR)}) where open_ms + {HOUR} <= (select max(epoch_us(ts)) // 1000 - 600000 from events)")
 def streaming_bars(spark, sf_dir):
     """Hourly bars through Structured Streaming; closed windows only."""
     from chronolith.streaming.bars import run_available

@@ -6,12 +6,13 @@ rows later than the watermark are dropped, as a closed bucket takes no more.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronolith.session import shared_dir
+
 
 def bars(events: DataFrame, step: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Bars of a stream of (event_id, ts, event_type, value)."""
@@ -27,17 +28,6 @@ def deduplicated(events: DataFrame, keys: list[str], late: str = "10 minutes") -
     return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).dropDuplicatesWithinWatermark(keys)
 
 
-def shared(spark: SparkSession) -> str:
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="chronolith-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
-
-
 def parquet_stream(spark: SparkSession, path: str) -> DataFrame:
     """A stream of a Parquet table that is a folder or a single file."""
     stored = spark.read.parquet(path)
@@ -50,7 +40,7 @@ def parquet_stream(spark: SparkSession, path: str) -> DataFrame:
 def run_available(spark: SparkSession, path: str, step: str = "1 hour") -> DataFrame:
     """All files under ``path`` through the stream until none is left; the bars
     of the windows that closed, read back from the sink's table."""
-    root = f"{shared(spark)}/chronolith/stream-{uuid.uuid4().hex}"
+    root = f"{shared_dir(spark)}/chronolith/stream-{uuid.uuid4().hex}"
     source = parquet_stream(spark, path)
     query = bars(source, step).writeStream.outputMode("append").format("parquet").option("path", f"{root}/bars").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
