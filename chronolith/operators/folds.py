@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # fixed values: rows of a test range, least train range, embargo
@@ -46,6 +46,24 @@ def train_rows(rows: DataFrame, n: Column) -> DataFrame:
     return rows.withColumn("fold_id", F.explode(F.when(first <= many - 1, F.sequence(first.cast("int"), (many - 1).cast("int"))).otherwise(F.array().cast("array<int>"))))
 
 
+def train_totals(rows: DataFrame, sums: dict[str, Column], greatest: dict[str, Column] | None = None) -> DataFrame:
+    """Per series and fold, aggregates over all rows that train the fold.
+
+    ``rows`` has series, n and row_index; ``sums`` are aggregates that add up
+    (counts, sums), ``greatest`` such whose greatest holds. Rows are aggregated
+    once, in blocks that end where train ranges end; running totals over blocks
+    give every fold, so no row is copied for the folds that it trains.
+    """
+    greatest = greatest or {}
+    block = F.greatest(F.lit(0), F.floor((F.col("row_index") - TRAIN) / TEST) + 1).cast("int")
+    per = rows.groupBy("series", F.col("n").alias("rows__"), block.alias("fold_id")).agg(*[c.alias(k) for k, c in (sums | greatest).items()])
+    many = F.floor((F.col("rows__") - FIRST_TEST) / TEST).cast("int")
+    grid = per.groupBy("series", "rows__").agg(F.lit(1).alias("one")).filter(many > 0).select("series", F.explode(F.sequence(F.lit(0), many - 1)).alias("fold_id"))
+    upto = Window.partitionBy("series").orderBy("fold_id").rowsBetween(Window.unboundedPreceding, 0)
+    totals = [F.coalesce(F.sum(k).over(upto), F.lit(0)).alias(k) for k in sums] + [F.max(k).over(upto).alias(k) for k in greatest]
+    return grid.join(per.drop("rows__"), ["series", "fold_id"], "left").select("series", "fold_id", *totals)
+
+
 def fold_stats(research: DataFrame, n: Column) -> DataFrame:
     """Per series and fold: rows, time range, nulls, signs, range of the return."""
     tested = research.withColumn("fold_id", fold_of(F.col("row_index"), n)).filter("fold_id is not null")

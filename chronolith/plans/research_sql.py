@@ -138,7 +138,7 @@ def fold_rows(spark, sf_dir):
 
 @query("fold_train_counts", f"select f.series, f.fold_id, count(*) as n_train, max(r.open_ms) as last_ms from {FOLDS} f join {RESEARCH} r on r.series = f.series and r.row_index < f.train_end group by f.series, f.fold_id")
 def fold_train_counts(spark, sf_dir):
-    return W.train_rows(with_n(research(spark, sf_dir)), F.col("n")).groupBy("series", "fold_id").agg(F.count(F.lit(1)).alias("n_train"), F.max("open_ms").alias("last_ms"))
+    return W.train_totals(with_n(research(spark, sf_dir)), {"n_train": F.count(F.lit(1))}, {"last_ms": F.max("open_ms")})
 
 
 @query(
@@ -220,7 +220,10 @@ _TRAIN = f"(select f.series, f.fold_id, r.* exclude (series, n) from {FOLDS} f j
 
 @query("zscore_train", f"select series, fold_id, count(f_ret_1) as n, {sql9('avg(f_ret_1)')} as mean, {sql9('stddev_pop(f_ret_1)')} as sd from {_TRAIN} group by series, fold_id")
 def zscore_train(spark, sf_dir):
-    return W.train_rows(with_n(research(spark, sf_dir)), F.col("n")).groupBy("series", "fold_id").agg(F.count("f_ret_1").alias("n"), r9(F.avg("f_ret_1")).alias("mean"), r9(F.stddev_pop("f_ret_1")).alias("sd"))
+    x = F.col("f_ret_1")
+    t = W.train_totals(with_n(research(spark, sf_dir)), {"n": F.count(x), "s": F.sum(x), "ss": F.sum(x * x)})
+    mean = F.col("s") / F.col("n")
+    return t.select("series", "fold_id", "n", r9(mean).alias("mean"), r9(F.sqrt(F.greatest(F.lit(0.0), F.col("ss") / F.col("n") - mean * mean))).alias("sd"))
 
 
 @query("ridge_one_feature", f"select series, fold_id, n, {sql9('mx', 7)} as mean_x, {sql9('my', 7)} as mean_y, {sql9('sd', 7)} as sd_x, {sql9('(sxy - n * mx * my) / sd / (n + 1)', 7)} as weight from (select series, fold_id, count(*)::double as n, avg(f_roc_60) as mx, avg(l_fwdret_24) as my, stddev_pop(f_roc_60) as sd, sum(f_roc_60 * l_fwdret_24) as sxy from {_TRAIN} where f_roc_60 is not null and l_fwdret_24 is not null group by series, fold_id)")
@@ -233,7 +236,8 @@ def ridge_one_feature(spark, sf_dir):
 @query("majority_baseline", f"select t.series, t.fold_id, case when up >= down then 1 else -1 end::int as majority, {sql9('avg(case when l_fwddir_24 = case when up >= down then 1 else -1 end then 1.0 else 0.0 end)')} as accuracy from {TESTED} t join (select series, fold_id, count(*) filter (where l_fwddir_24 = 1) as up, count(*) filter (where l_fwddir_24 = -1) as down from {_TRAIN} group by all) b on b.series = t.series and b.fold_id = t.fold_id where l_fwddir_24 is not null group by t.series, t.fold_id, up, down")
 def majority_baseline(spark, sf_dir):
     r = with_n(research(spark, sf_dir))
-    base = W.train_rows(r, F.col("n")).groupBy("series", "fold_id").agg(F.when(F.count_if(F.col("l_fwddir_24") == 1) >= F.count_if(F.col("l_fwddir_24") == -1), 1).otherwise(-1).cast("int").alias("majority"))
+    signs = W.train_totals(r, {"up": F.count_if(F.col("l_fwddir_24") == 1), "down": F.count_if(F.col("l_fwddir_24") == -1)})
+    base = signs.select("series", "fold_id", F.when(F.col("up") >= F.col("down"), 1).otherwise(-1).cast("int").alias("majority"))
     t = tested(spark, sf_dir).filter("l_fwddir_24 is not null").join(base, ["series", "fold_id"])
     return t.groupBy("series", "fold_id", "majority").agg(r9(F.avg((F.col("l_fwddir_24") == F.col("majority")).cast("double"))).alias("accuracy"))
 
@@ -246,8 +250,8 @@ def sign_baseline(spark, sf_dir):
 
 @query("climatology", f"select series, fold_id, count(*) filter (where l_fwddir_24 = 1) as up, count(*) filter (where l_fwddir_24 = -1) as down, {sql9('count(*) filter (where l_fwddir_24 = 1) / (count(*) filter (where l_fwddir_24 <> 0))::double')} as p from {_TRAIN} group by series, fold_id")
 def climatology(spark, sf_dir):
-    up, down = F.count_if(F.col("l_fwddir_24") == 1), F.count_if(F.col("l_fwddir_24") == -1)
-    return W.train_rows(with_n(research(spark, sf_dir)), F.col("n")).groupBy("series", "fold_id").agg(up.alias("up"), down.alias("down"), r9(up / (up + down)).alias("p"))
+    t = W.train_totals(with_n(research(spark, sf_dir)), {"up": F.count_if(F.col("l_fwddir_24") == 1), "down": F.count_if(F.col("l_fwddir_24") == -1)})
+    return t.select("series", "fold_id", "up", "down", r9(F.col("up") / (F.col("up") + F.col("down"))).alias("p"))
 
 
 _SCORED = "(select d.doc_id, d.lang, d.source, d.n_chars::double as score, l.quality as label, least(greatest(d.n_chars / 5000.0, 0.000000000001), 0.999999999999)::double as p from documents d join labels l on l.doc_id = d.doc_id)"
