@@ -577,3 +577,48 @@ def test_pages_with_equal_payloads(spark, monkeypatch, few):
         want = first.setdefault(html or "", k)
         assert (out[k].record_type, out[k].refers_to) == (("response", None) if want == k else ("revisit", want))
         assert out[k].payload_bytes == len(html or "")
+
+
+def test_kept_by_brute_force(spark):
+    """Verdicts from all label sequences of the lines, ties to content."""
+    rng = random.Random(12)
+    field = quality.train()
+    prose = lambda: " ".join(rng.choice(["the", "river", "ran", "past", "houses", "and", "people", "spoke", "of", "it"]) for _ in range(rng.randint(6, 30))).capitalize() + "."
+    junk = lambda: rng.choice(["HOME | NEWS | ABOUT | SIGN IN", "*** ### $$$ %%%", "Copyright 2020. All rights reserved", "BUY NOW!! CLICK!! HERE!!", "12 34 56 78 90 11"])
+    texts = ["\n".join(rng.choice([prose, prose, junk])() for _ in range(rng.randint(1, 9))) for _ in range(60)] + [None, "", " \n ", "word"]
+    out = {r.doc_id: r for r in quality.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for k, text in enumerate(texts):
+        words, lines, seen = (text or "").encode().split(), [], set()
+        for line in (text or "").encode().split(b"\n"):
+            if line.split():
+                lines.append((quality.line_features(line, line.split(), line in seen), len(line.split())))
+                seen.add(line)
+        best = None
+        for labels in product((0, 1), repeat=len(lines)):
+            score = sum(field.emit[on, y].sum() for (on, _), y in zip(lines, labels)) + sum(field.move[a, b] for a, b in zip(labels, labels[1:])) + (field.start[labels[0]] if labels else 0)
+            if best is None or score > best[0] + 1e-9:
+                best = (score, labels)
+        windows = list(zip(words, words[1:], words[2:]))
+        repeated = {i + j for i, w in enumerate(windows) if windows.count(w) > 1 for j in range(3)}
+        failed = len(words) < 50 or 100 * len(repeated) > 50 * len(words)
+        content = sum(n for (_, n), y in zip(lines, best[1]) if y == 0)
+        r = out[k]
+        assert (r.n_words, r.n_repeat_words, r.base_failed, r.content_words, r.kept) == (len(words), len(repeated), failed, content, not failed and 2 * content >= len(words))
+    assert {r.kept for r in out.values()} == {True, False}
+
+
+def test_capitals_are_counted_over_the_whole_line():
+    capitals = quality.FEATURES.index("capitals")
+    has = lambda line: capitals in quality.line_features(line, line.split(), False)
+    assert not has(b"A" * 400 + b" " + b"lower case " * 400)
+    assert has(b"a" * 200 + b" A B C" * 700) is False and has(b"a" * 200 + b" " + b"ABCDEFGH " * 300)
+
+
+def test_sizes_and_checksums_of_shards(spark):
+    texts = ["", None, "a", "ä€𝄞", "word " * 5000] * 3
+    out = {r.doc_id: r for r in sharding.shard_rows(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4), 4).collect()}
+    for k, t in enumerate(texts):
+        raw = (t or "").encode()
+        assert (out[k]["size"], out[k].text_crc32) == (len(raw) + 1, zlib.crc32(raw))
+    by_shard = [sorted(r.slot for r in out.values() if r.shard == s) for s in range(4)]
+    assert all(x == list(range(len(x))) for x in by_shard) and max(map(len, by_shard)) - min(map(len, by_shard)) <= 1
