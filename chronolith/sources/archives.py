@@ -112,16 +112,17 @@ def kline_rows(lines: DataFrame, header: bool, columns: tuple[str, ...] = KLINE)
     fields = F.split("line", ",", -1)
     rows = body.withColumn("fields", fields).select("*", *[F.get("fields", F.lit(i)).alias(c) for i, c in enumerate(columns)])
     prices = [c for c in columns if c not in ("open_time", "close_time", "t", "count", "trades", "ignore", "calc_time", "funding_interval_hours")]
+    # a step of its own, so that each text is expanded once
+    rows = rows.withColumns({f"plain_{c}": parse.expand_scientific(F.regexp_replace(c, "^-", "") if c == "last_funding_rate" else F.col(c)) for c in prices})
     bad_price = F.lit(False)
     for c in prices:
-        plain = parse.expand_scientific(F.regexp_replace(c, "^-", "") if c == "last_funding_rate" else F.col(c))
-        bad_price = bad_price | parse.decimal_reason(plain).isNotNull()
+        bad_price = bad_price | parse.decimal_reason(F.col(f"plain_{c}")).isNotNull()
     time = columns[0]
     reason = (
         F.when(F.col("bad_header"), "header_mismatch").when(F.contains("line", F.lit('"')), "quoting_not_permitted").when(F.size("fields") != len(columns), "field_count")
         .when(~F.col(time).rlike("^[0-9]+$"), "timestamp_malformed").when(bad_price, "decimal_policy")
     )
-    return rows.withColumn("reason", reason).drop("fields", "bad_header")
+    return rows.withColumn("reason", reason).drop("fields", "bad_header", *[f"plain_{c}" for c in prices])
 
 
 def window_scan(lines: DataFrame, start_ms: int, end_ms: int, step: int) -> DataFrame:
