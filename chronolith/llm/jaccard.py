@@ -15,8 +15,10 @@ that links is contracted. In buckets that still hold several components every
 member names one member of another component, of which a size bound and a
 parity sketch, both exact, rule out most; rounds go on while many of these are
 linked, over the buckets in which something is left to try. What is open then
-is searched for every pair. A large bucket is dealt out as pairs of blocks. Every
-link is verified on the whole sets.
+is searched for every pair. Each member carries the least buckets that it is in;
+a pair that shares one of these below the present bucket is left to that one, so
+a pair comes from one bucket, not from all that both are in. A large bucket is
+dealt out as pairs of blocks. Every link is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -46,6 +48,8 @@ FANOUT = 32
 BROADCAST_ROWS = 500_000
 #: Members of a bucket in one block, and pairs of one document in one task.
 BLOCK, SHARE = 2048, 64
+#: Least buckets of a member that it carries, to tell where a pair belongs.
+FIRST = 8
 #: Rounds end when fewer than one in so many named pairs are linked.
 SETTLED = 10
 #: Signatures gathered for one reduce task.
@@ -380,7 +384,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
 class Found(NamedTuple):
     """Pairs (a, b) named in one bucket, with the components of both, and
-    whether the bucket allows others."""
+    whether others belong to the bucket."""
 
     a: np.ndarray
     b: np.ndarray
@@ -410,15 +414,19 @@ def _near(words: np.ndarray, own: np.ndarray, limit: np.ndarray) -> np.ndarray:
     return hit
 
 
-def _open_pairs(side: np.ndarray, ids: np.ndarray, comp: np.ndarray, n: np.ndarray, bits: list[np.ndarray], percent: int, every: bool) -> Iterator[Found]:
+def _open_pairs(side: np.ndarray, ids: np.ndarray, comp: np.ndarray, n: np.ndarray, bits: list[np.ndarray], percent: int, every: bool, first: np.ndarray | None = None, bucket: int = 0) -> Iterator[Found]:
     """Pairs of one bucket in different components that size and sketch allow.
 
     With ``every`` all of them; else each member names the one of the least
     component (and id) among those below its own. Members of the largest
-    component are not compared with each other.
+    component are not compared with each other. With ``first``, the least
+    buckets of each member (a row each), pairs that have one below ``bucket`` in
+    common belong to that one and are passed over here: the least bucket that
+    two members share never passes them over.
     """
     order = np.argsort(n, kind="stable")
     side, ids, comp, n, bits = side[order], ids[order], comp[order], n[order], [bits[k] for k in order.tolist()]
+    first = None if first is None else first[order]
     labels, place, sizes = np.unique(comp, return_inverse=True, return_counts=True)
     if len(labels) == 1:
         return
@@ -433,16 +441,18 @@ def _open_pairs(side: np.ndarray, ids: np.ndarray, comp: np.ndarray, n: np.ndarr
     for i in np.flatnonzero(~main).tolist():
         hits = []
         if i + 1 < high[i]:
-            first, words = levels[width[i]]
-            hits.append(_near(words[:, i + 1 - first : high[i] - first], words[:, i - first], (n[i + 1 : high[i]] + n[i]) * (100 - percent) // (100 + percent)) + i + 1)
+            at, words = levels[width[i]]
+            hits.append(_near(words[:, i + 1 - at : high[i] - at], words[:, i - at], (n[i + 1 : high[i]] + n[i]) * (100 - percent) // (100 + percent)) + i + 1)
         earlier = mains[np.searchsorted(mains, low[i]) : np.searchsorted(mains, i)]
         for w in np.unique(width[earlier]).tolist() if len(earlier) else ():
-            first, words = levels[w]
+            at, words = levels[w]
             j = earlier[width[earlier] == w]
-            hits.append(j[_near(words[:, j - first], words[:, i - first], (n[j] + n[i]) * (100 - percent) // (100 + percent))])
+            hits.append(j[_near(words[:, j - at], words[:, i - at], (n[j] + n[i]) * (100 - percent) // (100 + percent))])
         j = np.concatenate(hits) if hits else np.empty(0, np.int64)
         if len(j):
             j = j[(comp[j] != comp[i]) & ((side[j] != side[i]) | (side[j] == 2))]
+        if len(j) and first is not None:
+            j = j[~np.isin(first[j], first[i][first[i] < bucket]).any(axis=1)]
         if not len(j):
             continue
         if every:
@@ -466,8 +476,8 @@ def _open_pairs(side: np.ndarray, ids: np.ndarray, comp: np.ndarray, n: np.ndarr
 
 def _search(batches: Iterable[pa.RecordBatch], percent: int, every: bool) -> Iterator[pa.RecordBatch]:
     """:func:`_open_pairs` of sorted buckets (key, bucket, side, id, comp, n,
-    sketch), as rows (bucket, a, b, comp_a, comp_b): pairs, without a bucket,
-    and buckets that allow others than they named."""
+    sketch, first), as rows (bucket, a, b, comp_a, comp_b): pairs, without a
+    bucket, and buckets to which others belong than they named."""
     names = ["a", "b", "comp_a", "comp_b"]
     pairs: list[Found] = []
     buckets: list[int] = []
@@ -490,11 +500,12 @@ def _search(batches: Iterable[pa.RecordBatch], percent: int, every: bool) -> Ite
             carried = table.slice(edges[-1])
             edges, ends = edges[:-1], ends[:-1]
         bucket, side, ids, comp, n = (table.column(k).to_numpy() for k in range(1, 6))
-        sketches = table.column(6)
+        sketches, first = table.column(6), table.column(7)
         for a, b in zip(edges.tolist(), ends.tolist(), strict=True):
             if b - a > 1 and (comp[a:b] != comp[a]).any():
                 bits = [np.frombuffer(x.as_buffer(), np.uint64) for x in sketches.slice(a, b - a)]
-                for x in _open_pairs(side[a:b], ids[a:b], comp[a:b], n[a:b], bits, percent, every):
+                least = np.array([x.as_py() for x in first.slice(a, b - a)])
+                for x in _open_pairs(side[a:b], ids[a:b], comp[a:b], n[a:b], bits, percent, every, least, bucket[a:b].min()):
                     pairs.append(x)
                     held += len(x.a)
                     if x.more:
@@ -514,7 +525,8 @@ def _search(batches: Iterable[pa.RecordBatch], percent: int, every: bool) -> Ite
 
 
 def _members(open_: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Members of open buckets with their sketches, by block pair of a bucket.
+    """Members of open buckets with their sketches and least buckets, by block
+    pair of a bucket.
 
     A bucket of ``blocks`` blocks is as many as their pairs: a member goes to
     the pairs that its block is in, on one side of them (0 or 1), and on both
@@ -524,7 +536,7 @@ def _members(open_: DataFrame, sketches: DataFrame) -> DataFrame:
     key = F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other"))
     side = F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1)
     slim = dealt.select(key.alias("key"), "bucket", side.cast("long").alias("side"), "id", "comp")
-    return slim.join(sketches, "id").select("key", "bucket", "side", "id", "comp", "n", "sketch")
+    return slim.join(sketches, "id").select("key", "bucket", "side", "id", "comp", "n", "sketch", "first")
 
 
 def _few(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
@@ -539,6 +551,13 @@ def _best_lead(rows: DataFrame) -> DataFrame:
     return counted.groupBy("id").agg(F.max_by("lead", F.struct("n", -F.col("lead"))).alias("a")).select("a", F.col("id").alias("b"))
 
 
+def _least_buckets(placed: DataFrame) -> DataFrame:
+    """id and ``first``: the least FIRST of its buckets, filled up with the
+    largest integer, below which no bucket looks."""
+    least = F.slice(F.array_sort(F.collect_set("bucket")), 1, FIRST)
+    return placed.groupBy("id").agg(F.concat(least, F.array_repeat(F.lit(2**63 - 1), FIRST)).alias("first")).select("id", F.slice("first", 1, FIRST).alias("first"))
+
+
 def part_labels(spark, tasks: int) -> list[int]:
     """For each of ``tasks`` shuffle partitions an integer that is dealt to it."""
     rows = spark.range(40 * tasks).select(F.col("id").cast("int").alias("label")).groupBy(F.expr(f"pmod(hash(label), {tasks})").alias("part")).agg(F.min("label").alias("label")).collect()
@@ -581,8 +600,8 @@ def _links(own: Staging, texts: DataFrame, described: DataFrame, classes: DataFr
     tried = own.stage(tried.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).filter("a <> b"), "jaccard-tried")
     placed = own.stage(buckets.select("bucket", "node").join(reps, "node").select("bucket", "id"), "jaccard-placed")
     own.drop(buckets)
-    ids = own.stage(placed.select("id").distinct(), "jaccard-ids")
-    sketches = own.stage(_few(described.select(F.col("doc_id").alias("id"), "n", "sketch"), ids, "id"), "jaccard-sketches")
+    ids = own.stage(_least_buckets(placed), "jaccard-ids")
+    sketches = own.stage(_few(described.select(F.col("doc_id").alias("id"), "n", "sketch"), ids.select("id"), "id").join(ids, "id"), "jaccard-sketches")
     sketches = sketches.distinct() if _repeats(sketches) else sketches  # the rows of a repeated id
 
     def sets(wanted: DataFrame) -> DataFrame:

@@ -380,6 +380,57 @@ def test_search_of_a_bucket(block):
     assert named.more == (len(pairs) > len(named.b))
 
 
+@pytest.mark.parametrize("kept", [2, 12])
+def test_a_pair_belongs_to_one_bucket(kept):
+    """Over buckets that overlap every pair that any of them allows comes out;
+    with all buckets of each member known, once."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 200).astype(np.uint64)
+    sets = [np.unique(base[rng.random(200) > d]) for d in rng.random(50) * 0.2]
+    comp, n = rng.integers(0, 30, 50), np.array([len(x) for x in sets])
+    bits = [np.frombuffer(jaccard.sketch(x), np.uint64) for x in sets]
+    inside = rng.random((12, 50)) < 0.5
+    labels = np.sort(rng.integers(-(2**63), 2**63 - 1, 12))
+    first = np.array([[*labels[inside[:, i]], *[2**63 - 1] * 12][:kept] for i in range(50)])
+    plain, owned = [], []
+    for bucket, ids in zip(labels.tolist(), map(np.flatnonzero, inside), strict=True):
+        row = [np.full(len(ids), 2), ids, comp[ids], n[ids], [bits[i] for i in ids.tolist()], 80, True]
+        for found, more in (plain, []), (owned, [first[ids], bucket]):
+            found.extend(pair for x in jaccard._open_pairs(*row, *more) for pair in zip(x.a.tolist(), x.b.tolist(), strict=True))
+    assert set(owned) == set(plain) and len(plain) > 2 * len(set(plain))
+    assert len(owned) == len(set(owned)) if kept == 12 else len(owned) < len(plain)
+
+
+def test_search_names_a_pair_once(spark, monkeypatch):
+    """600 near copies over 24 partitions: links as by brute force, and no pair
+    comes from several of the buckets that both its members are in."""
+    rng = random.Random(12)
+    vocabulary = [f"w{k}" for k in range(2000)]
+    base, texts = [rng.choice(vocabulary) for _ in range(70)], []
+    for i in range(600):
+        own = list(base)
+        for _ in range(rng.choice([1, 2, 2, 3, 3, 4])):
+            own[rng.randrange(70)] = rng.choice(vocabulary)
+        texts.append((i, " ".join(own)))
+    stage, rows = jaccard.Staging.stage, {"jaccard-found": [], "jaccard-named": []}
+
+    def counted(self, df, name):
+        table = stage(self, df, name)
+        if name in rows:
+            rows[name].append(table.filter("a is not null").count())
+        return table
+
+    monkeypatch.setattr(jaccard.Staging, "stage", counted)
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        out = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similar(spark.createDataFrame(texts, "doc_id long, text string").repartition(4), 5, 80).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert out == _components(texts, 5, 80)
+    assert sum(rows["jaccard-named"]) > 0 and sum(rows["jaccard-found"]) < 1.2 * sum(rows["jaccard-named"])
+
+
 def test_components(spark):
     """Paths, stars, loops, repeated edges and null ends against a walk."""
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 140)] + [(200, 200), (7, 3), (7, 3), (None, 5), (300, 301), (301, 302), (302, 300)]
