@@ -31,6 +31,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -500,12 +501,11 @@ def _search(batches: Iterable[pa.RecordBatch], percent: int, every: bool) -> Ite
             carried = table.slice(edges[-1])
             edges, ends = edges[:-1], ends[:-1]
         bucket, side, ids, comp, n = (table.column(k).to_numpy() for k in range(1, 6))
-        sketches, first = table.column(6), table.column(7)
+        sketches, first = table.column(6), pc.list_flatten(table.column(7)).to_numpy().reshape(-1, FIRST)
         for a, b in zip(edges.tolist(), ends.tolist(), strict=True):
             if b - a > 1 and (comp[a:b] != comp[a]).any():
                 bits = [np.frombuffer(x.as_buffer(), np.uint64) for x in sketches.slice(a, b - a)]
-                least = np.array([x.as_py() for x in first.slice(a, b - a)])
-                for x in _open_pairs(side[a:b], ids[a:b], comp[a:b], n[a:b], bits, percent, every, least, bucket[a:b].min()):
+                for x in _open_pairs(side[a:b], ids[a:b], comp[a:b], n[a:b], bits, percent, every, first[a:b], bucket[a:b].min()):
                     pairs.append(x)
                     held += len(x.a)
                     if x.more:
