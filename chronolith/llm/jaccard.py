@@ -10,12 +10,14 @@ many segments are wide is chosen by cost. The slack pays for segments that are
 empty in a document: they are not indexed unless they weigh more.
 
 Buckets of the index are not expanded into pairs. Buckets of the same members
-count as one. In each the members are tried along a shallow tree first; what
-that links is contracted. In buckets that still hold several components every
-member names one member of another component, of which a size bound and a
-parity sketch, both exact, rule out most; rounds go on while many of these are
-linked, over the buckets in which something is left to try. What is open then
-is searched for every pair. Each member carries the least buckets that it is in;
+count as one. In each the members are tried along a shallow tree first, and
+members of large ones with the centre of their largest bucket, its member in
+most large buckets; what that links is contracted. In buckets that still hold
+several components every member names one member of another component, of which
+a size bound and a parity sketch, both exact, rule out most, or all of them
+where they are few; rounds go on while many of these are linked, over the
+buckets in which something is left to try. What is open then is searched for
+every pair. Each member carries the least buckets that it is in;
 a pair that shares one of these below the present bucket is left to that one, so
 a pair comes from one bucket, not from all that both are in. A large bucket is
 dealt out as pairs of blocks. Every link is verified on the whole sets.
@@ -51,6 +53,8 @@ BROADCAST_ROWS = 500_000
 BLOCK, SHARE = 2048, 64
 #: Least buckets of a member that it carries, to tell where a pair belongs.
 FIRST = 8
+#: A bucket gives all its pairs where they are at most so many for each named one.
+FEW = 8
 #: Rounds end when fewer than one in so many named pairs are linked.
 SETTLED = 10
 #: Signatures gathered for one reduce task.
@@ -282,9 +286,9 @@ def _unpack_nodes(data: bytes) -> np.ndarray:
 
 def _buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Members of buckets of two nodes or more, one of them of the scheme's own
-    band: (bucket, node, lead). ``bucket`` is a hash of all its members, so that
-    buckets of the same members are one; ``lead`` stands above the member in a
-    tree over them."""
+    band: (bucket, node, lead, size). ``bucket`` is a hash of all its members, so
+    that buckets of the same members are one; ``lead`` stands above the member in
+    a tree over them; ``size`` counts them."""
     width = SIGNATURE_BITS // 8
     by_part: dict[int, list[tuple[bytes, bytes]]] = {}
     for batch in batches:
@@ -315,7 +319,7 @@ def _buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         first = np.repeat(start[many], count)
         above = first + np.maximum(rank - 1, 0) // FANOUT
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(bucket[many], count).view(np.int64)), pa.array(node[first + rank]), pa.array(node[above])], names=["bucket", "node", "lead"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(bucket[many], count).view(np.int64)), pa.array(node[first + rank]), pa.array(node[above]), pa.array(np.repeat(count, count))], names=["bucket", "node", "lead", "size"])
 
 
 def _sets(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -415,13 +419,13 @@ def _near(words: np.ndarray, own: np.ndarray, limit: np.ndarray) -> np.ndarray:
     return hit
 
 
-def _open_pairs(side: np.ndarray, ids: np.ndarray, comp: np.ndarray, n: np.ndarray, bits: list[np.ndarray], percent: int, every: bool, first: np.ndarray | None = None, bucket: int = 0) -> Iterator[Found]:
+def _open_pairs(side: np.ndarray, ids: np.ndarray, comp: np.ndarray, n: np.ndarray, bits: list[np.ndarray], percent: int, every: bool, first: np.ndarray | None = None, bucket: int = 0, few: int = 0) -> Iterator[Found]:
     """Pairs of one bucket in different components that size and sketch allow.
 
     With ``every`` all of them; else each member names the one of the least
-    component (and id) among those below its own. Members of the largest
-    component are not compared with each other. With ``first``, the least
-    buckets of each member (a row each), pairs that have one below ``bucket`` in
+    component (and id) among those below its own, and again all come out if they
+    are at most ``few`` for each that is named. Members of the largest component
+    are not compared with each other. With ``first``, the least buckets of each member (a row each), pairs that have one below ``bucket`` in
     common belong to that one and are passed over here: the least bucket that
     two members share never passes them over.
     """
@@ -436,7 +440,13 @@ def _open_pairs(side: np.ndarray, ids: np.ndarray, comp: np.ndarray, n: np.ndarr
     width = np.array([len(x) for x in bits])  # it rises with n
     levels = _levels(bits, width)
     low, high = np.searchsorted(n, -(-n * percent // 100)).tolist(), np.searchsorted(n, n * 100 // percent, side="right").tolist()
-    best, allowed = np.full(len(ids), -1), 0
+    best, allowed, held = np.full(len(ids), -1), 0, []
+
+    def pairs(i: int, j: np.ndarray) -> Found:
+        below = comp[j] < comp[i]
+        a, b = np.where(below, j, i), np.where(below, i, j)
+        return Found(ids[a], ids[b], comp[a], comp[b], False)
+
     rank = np.empty(len(ids), np.int64)  # by component and id
     rank[np.lexsort((ids, comp))] = np.arange(len(ids))
     for i in np.flatnonzero(~main).tolist():
@@ -457,12 +467,12 @@ def _open_pairs(side: np.ndarray, ids: np.ndarray, comp: np.ndarray, n: np.ndarr
         if not len(j):
             continue
         if every:
-            below = comp[j] < comp[i]
-            a, b = np.where(below, j, i), np.where(below, i, j)
-            yield Found(ids[a], ids[b], comp[a], comp[b], False)
+            yield pairs(i, j)
             continue
         lower, higher = j[comp[j] < comp[i]], j[comp[j] > comp[i]]
         allowed += len(j)
+        if allowed <= few * len(ids):
+            held.append((i, j))
         if len(lower):
             least = lower[np.argmin(rank[lower])]
             if best[i] < 0 or rank[least] < rank[best[i]]:
@@ -471,6 +481,9 @@ def _open_pairs(side: np.ndarray, ids: np.ndarray, comp: np.ndarray, n: np.ndarr
         best[better] = i
     if allowed:
         b = np.flatnonzero(best >= 0)
+        if len(b) < allowed <= few * len(b):
+            yield from (pairs(i, j) for i, j in held)
+            return
         a = best[b]
         yield Found(ids[a], ids[b], comp[a], comp[b], allowed > len(b))
 
@@ -505,7 +518,7 @@ def _search(batches: Iterable[pa.RecordBatch], percent: int, every: bool) -> Ite
         for a, b in zip(edges.tolist(), ends.tolist(), strict=True):
             if b - a > 1 and (comp[a:b] != comp[a]).any():
                 bits = [np.frombuffer(x.as_buffer(), np.uint64) for x in sketches.slice(a, b - a)]
-                for x in _open_pairs(side[a:b], ids[a:b], comp[a:b], n[a:b], bits, percent, every, first[a:b], bucket[a:b].min()):
+                for x in _open_pairs(side[a:b], ids[a:b], comp[a:b], n[a:b], bits, percent, every, first[a:b], bucket[a:b].min(), FEW):
                     pairs.append(x)
                     held += len(x.a)
                     if x.more:
@@ -551,6 +564,15 @@ def _best_lead(rows: DataFrame) -> DataFrame:
     return counted.groupBy("id").agg(F.max_by("lead", F.struct("n", -F.col("lead"))).alias("a")).select("a", F.col("id").alias("b"))
 
 
+def _centres(placed: DataFrame) -> DataFrame:
+    """For each member of buckets of more than FANOUT, the centre of the largest
+    of these: the one of its members that is in most, as (a, b)."""
+    wide = placed.filter(F.col("size") > FANOUT)
+    centre = wide.groupBy("bucket").agg(F.max_by("id", F.struct("degree", -F.col("id"))).alias("a"))
+    largest = wide.groupBy("id").agg(F.max_by("bucket", F.struct("size", "bucket")).alias("bucket"))
+    return largest.join(centre, "bucket").select("a", F.col("id").alias("b"))
+
+
 def _least_buckets(placed: DataFrame) -> DataFrame:
     """id and ``first``: the least FIRST of its buckets, filled up with the
     largest integer, below which no bucket looks."""
@@ -593,12 +615,13 @@ def _links(own: Staging, texts: DataFrame, described: DataFrame, classes: DataFr
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * total // (2 * TASK_SIGNATURES) + 1)  # about 1.5 signatures a shingle
     labels = part_labels(spark, tasks)
     packed = texts.mapInArrow(lambda x: _index(x, k, percent, labels), "part int, keys binary, nodes binary").repartition(tasks, "part")
-    buckets = own.stage(packed.mapInArrow(_buckets, "bucket long, node long, lead long").distinct(), "jaccard-buckets")
+    buckets = own.stage(packed.mapInArrow(_buckets, "bucket long, node long, lead long, size long").distinct(), "jaccard-buckets")
     reps = classes.select(F.expr("key1 & -2L").alias("node"), F.col("rep").alias("id"))
     leads = _best_lead(buckets.filter("node <> lead").select(F.col("node").alias("id"), "lead"))
     tried = leads.join(reps.select(F.col("node").alias("a"), F.col("id").alias("a_id")), "a").join(reps.select(F.col("node").alias("b"), F.col("id").alias("b_id")), "b")
-    tried = own.stage(tried.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).filter("a <> b"), "jaccard-tried")
-    placed = own.stage(buckets.select("bucket", "node").join(reps, "node").select("bucket", "id"), "jaccard-placed")
+    degrees = buckets.filter(F.col("size") > FANOUT).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    placed = own.stage(buckets.select("bucket", "node", "size").join(reps.join(degrees, "node", "left"), "node").select("bucket", "id", "size", "degree"), "jaccard-placed")
+    tried = own.stage(tried.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).union(_centres(placed)).filter("a <> b"), "jaccard-tried")
     own.drop(buckets)
     ids = own.stage(_least_buckets(placed), "jaccard-ids")
     sketches = own.stage(_few(described.select(F.col("doc_id").alias("id"), "n", "sketch"), ids.select("id"), "id").join(ids, "id"), "jaccard-sketches")

@@ -401,6 +401,50 @@ def test_a_pair_belongs_to_one_bucket(kept):
     assert len(owned) == len(set(owned)) if kept == 12 else len(owned) < len(plain)
 
 
+def test_a_bucket_names_few_pairs_at_once():
+    """All pairs of a bucket come out, and none is left, where they are at most
+    so many for each that would be named; else those that were named before."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 2**63, 200).astype(np.uint64)
+    sets = [np.unique(base[rng.random(200) > d]) for d in rng.random(40) * 0.2]
+    row = [np.full(40, 2), np.arange(40), rng.integers(0, 12, 40), np.array([len(x) for x in sets]), [np.frombuffer(jaccard.sketch(x), np.uint64) for x in sets], 80]
+    pairs = lambda found: sorted(pair for x in found for pair in zip(x.a.tolist(), x.b.tolist(), x.comp_a.tolist(), x.comp_b.tolist(), strict=True))
+    every, named = list(jaccard._open_pairs(*row, True)), list(jaccard._open_pairs(*row, False))
+    ratio = len(pairs(every)) / len(pairs(named))
+    assert ratio > 3 and any(x.more for x in named)
+    few = list(jaccard._open_pairs(*row, False, few=int(ratio) + 1))
+    assert pairs(few) == pairs(every) and not any(x.more for x in few)
+    many = list(jaccard._open_pairs(*row, False, few=int(ratio) - 1))
+    assert pairs(many) == pairs(named) and any(x.more for x in many)
+
+
+def test_near_copies_are_searched_about_once(spark, monkeypatch):
+    """A text and 600 copies of it, too far from each other and many from it too:
+    components as by brute force, and members of buckets are dealt to the
+    searches about once in all, not once a round."""
+    rng = random.Random(21)
+    vocabulary = [f"w{k}" for k in range(2000)]
+    base = [rng.choice(vocabulary) for _ in range(150)]
+    texts = [(601, " ".join(base))]
+    for i in range(1, 601):
+        own = list(base)
+        for at in rng.sample(range(150), rng.choice([2, 2, 2, 3, 4, 5])):
+            own[at] = rng.choice(vocabulary)
+        texts.append((i, " ".join(own)))
+    stage, rows = jaccard.Staging.stage, {"jaccard-buckets": 0, "jaccard-open": 0}
+
+    def counted(self, df, name):
+        table = stage(self, df, name)
+        if name in rows:
+            rows[name] += table.count()
+        return table
+
+    monkeypatch.setattr(jaccard.Staging, "stage", counted)
+    out = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similar(spark.createDataFrame(texts, "doc_id long, text string").repartition(4), 4, 85).collect()}
+    assert out == _components(texts, 4, 85) and len({x for _, x in out.values()}) > 100
+    assert rows["jaccard-open"] < 1.2 * rows["jaccard-buckets"], rows
+
+
 def test_search_names_a_pair_once(spark, monkeypatch):
     """600 near copies over 24 partitions: links as by brute force, and no pair
     comes from several of the buckets that both its members are in."""
